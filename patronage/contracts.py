@@ -19,7 +19,8 @@ class Contract:
 
 _TYPES = {
     "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
-    "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "binary": T.BinaryType(),
+    "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(), "binary": T.BinaryType(),
 }
 
 

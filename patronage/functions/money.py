@@ -27,4 +27,4 @@ def round_amount(amount: Column, digits: int = 2) -> Column:
 def order_total(items: Column) -> Column:
     """Sum of price x quantity over the line items of one order."""
     total = F.aggregate(items, F.lit(0.0), lambda acc, item: acc + item["price"] * item["quantity"])
-    return round_amount(total)
+    return from_cents(to_cents(total))

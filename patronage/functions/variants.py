@@ -11,9 +11,12 @@ _AS_MAP = "map<string,variant>"
 _NUMBER_TEXT = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 
 
-def kind(value: Column) -> Column:
-    """Leading word of the JSON type: STRING, BIGINT, DECIMAL, DOUBLE, BOOLEAN, OBJECT, ARRAY or VOID."""
-    return F.regexp_extract(F.schema_of_variant(value), r"^[A-Z]+", 0)
+def is_text(value: Column) -> Column:
+    return F.schema_of_variant(value) == "STRING"
+
+
+def is_object(value: Column) -> Column:
+    return F.schema_of_variant(value).startswith("OBJECT")
 
 
 def is_missing(value: Column) -> Column:
@@ -26,34 +29,37 @@ def as_text(value: Column) -> Column:
 
 def _step(value: Column) -> Column:
     """One union level: the `string` branch, else `STRING`, else the only entry; anything else is left alone."""
-    entries = F.try_variant_get(value, "$", _AS_MAP)
-    return (
-        F.when(entries.isNull(), value)
-        .when(F.map_contains_key(entries, "string"), F.try_element_at(entries, F.lit("string")))
-        .when(F.map_contains_key(entries, "STRING"), F.try_element_at(entries, F.lit("STRING")))
-        .when(F.size(entries) == 1, F.map_values(entries)[0])
-        .otherwise(value)
-    )
+
+    def branch(entries: Column) -> Column:
+        return (
+            F.when(F.map_contains_key(entries, "string"), F.try_element_at(entries, F.lit("string")))
+            .when(F.map_contains_key(entries, "STRING"), F.try_element_at(entries, F.lit("STRING")))
+            .when(F.size(entries) == 1, F.map_values(entries)[0])
+            .otherwise(value)
+        )
+
+    # the one-element array gives the entries a name, so they are read from the variant once
+    opened = F.transform(F.array(F.try_variant_get(value, "$", _AS_MAP)), branch)
+    return F.when(is_object(value), opened[0]).otherwise(value)
 
 
 def unwrap_text(value: Column) -> Column:
     """Text inside up to four union wrappers; empty text and JSON null become null. The fold binds each level
     to a lambda variable, so the expression does not grow with the depth."""
     levels = F.sequence(F.lit(1), F.lit(MAX_UNWRAP))
-    inner = F.when(kind(value) == "OBJECT", F.aggregate(levels, value, lambda acc, _: _step(acc))).otherwise(value)
+    inner = F.when(is_object(value), F.aggregate(levels, value, lambda acc, _: _step(acc))).otherwise(value)
     return F.nullif(as_text(inner), F.lit(""))
 
 
 def to_bigint(value: Column, default: int | None = 0) -> Column:
     """Whole numbers: JSON numbers are cut at the point, text must be an integer, all else is the default."""
-    number = F.when(~kind(value).isin("OBJECT", "ARRAY"), F.try_variant_get(value, "$", "bigint"))
+    number = F.try_variant_get(value, "$", "bigint")
     return number if default is None else F.coalesce(number, F.lit(default).cast("bigint"))
 
 
 def to_double(value: Column, default: float = 0.0) -> Column:
-    readable = (kind(value) != "STRING") | as_text(value).rlike(_NUMBER_TEXT)
-    number = F.when(readable & ~kind(value).isin("OBJECT", "ARRAY"), F.try_variant_get(value, "$", "double"))
-    return F.coalesce(number, F.lit(default))
+    unreadable = is_text(value) & ~as_text(value).rlike(_NUMBER_TEXT)
+    return F.coalesce(F.when(~unreadable, F.try_variant_get(value, "$", "double")), F.lit(default))
 
 
 # Words read as a boolean.
@@ -64,21 +70,18 @@ FALSE_WORDS = ("false", "0", "no", "n")
 def to_boolean(value: Column) -> Column:
     """Tri-state: known words, booleans, numbers by being non-zero, containers by being non-empty, else null."""
     word = F.lower(as_text(value))
-    by_kind = kind(value)
+    kind = F.schema_of_variant(value)
+    spoken = F.when(word.isin(*TRUE_WORDS), F.lit(True)).when(word.isin(*FALSE_WORDS), F.lit(False))
     return (
-        F.when(by_kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
-        .when((by_kind == "STRING") & word.isin(*TRUE_WORDS), F.lit(True))
-        .when((by_kind == "STRING") & word.isin(*FALSE_WORDS), F.lit(False))
-        .when(by_kind == "OBJECT", F.size(F.try_variant_get(value, "$", _AS_MAP)) > 0)
-        .when(by_kind == "ARRAY", F.size(F.try_variant_get(value, "$", "array<variant>")) > 0)
-        .when(by_kind.isin("BIGINT", "DECIMAL", "DOUBLE", "FLOAT"), F.try_variant_get(value, "$", "double") != 0)
+        F.when(kind == "STRING", spoken)
+        .when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+        .when(kind.startswith("OBJECT"), F.size(F.try_variant_get(value, "$", _AS_MAP)) > 0)
+        .when(kind.startswith("ARRAY"), F.size(F.try_variant_get(value, "$", "array<variant>")) > 0)
+        .otherwise(F.try_variant_get(value, "$", "double") != 0)
     )
 
 
 def is_falsy(value: Column) -> Column:
     """Missing, empty text, zero, false or an empty container."""
-    return (
-        is_missing(value)
-        | (as_text(value) == "")
-        | ((kind(value) != "STRING") & ~F.coalesce(to_boolean(value), F.lit(True)))
-    )
+    empty = F.when(is_text(value), as_text(value) == "").otherwise(~to_boolean(value))
+    return is_missing(value) | F.coalesce(empty, F.lit(False))

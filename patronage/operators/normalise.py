@@ -18,19 +18,31 @@ SERVING_COLUMNS = (
 
 
 def _field(entries: Column, name: str) -> Column:
-    """The value stored under any spelling of a key; when several spellings occur, the last one counts."""
-    same = F.filter(entries, lambda e: F.lower(e["key"]) == name)
-    return F.try_element_at(same, F.lit(-1))["value"]
+    """The value stored under a key, null when it is absent. Entries run backwards, so of several spellings of one
+    key the last one in the text counts."""
+    at = F.nullif(F.array_position(entries["keys"], name), F.lit(0))
+    return F.try_element_at(entries["values"], at.cast("int"))
+
+
+def _parsed(text: Column) -> Column:
+    """One row with the object's lower-case keys and its values, or no row at all when the text is no object. As the
+    output of a generator they are parsed once, whatever is later computed from them or filtered on them."""
+    objects = F.array_compact(F.array(F.from_json(text, "map<string,variant>")))
+    return F.explode(F.transform(objects, lambda m: F.struct(
+        F.reverse(F.transform(F.map_keys(m), lambda k: F.lower(k))).alias("keys"),
+        F.reverse(F.map_values(m)).alias("values"),
+    )))
 
 
 def normalise_rows(df: DataFrame, value_col: str = "value", key_col: str = "key") -> DataFrame:
     """Rows whose value is not a JSON object are left out; other columns are kept in front."""
     keep = [c for c in df.columns if c not in (value_col, key_col)]
-    names = (*SERVING_COLUMNS,)
     raw = (
-        df.withColumn("_entries", F.map_entries(F.from_json(F.col(value_col).cast("string"), "map<string,variant>")))
-        .where(F.col("_entries").isNotNull())
-        .select(*keep, F.col(key_col).cast("string").alias("_key"), *[_field(F.col("_entries"), n).alias(n) for n in names])
+        df.withColumn("_entries", _parsed(F.col(value_col).cast("string")))
+        .select(
+            *keep, F.col(key_col).cast("string").alias("_key"),
+            *[_field(F.col("_entries"), n).alias(n) for n in SERVING_COLUMNS],
+        )
     )
     own_id = F.col("customer_id")
     use_key = V.is_falsy(own_id) & (F.coalesce(F.col("_key"), F.lit("")) != "")

@@ -30,14 +30,14 @@ def order_summary_of(spark: SparkSession, sf: str, scale: int = 1) -> DataFrame:
     return M.order_summary(I.order_events(spark, sf, scale).withColumnRenamed("placed_at", "order_placed_at"))
 
 
-def consolidated_of(spark: SparkSession, sf: str, scale: int = 1) -> DataFrame:
-    return J.consolidate(
-        order_summary_of(spark, sf, scale), I.profiles(spark, sf), M.activation_summary(I.activation_events(spark, sf))
-    )
+def consolidated_of(spark: SparkSession, sf: str, scale: int = 1, known: DataFrame | None = None) -> DataFrame:
+    messages = M.activation_summary(I.activation_events(spark, sf))
+    return J.consolidate(order_summary_of(spark, sf, scale), known or I.profiles(spark, sf), messages)
 
 
 def serving_of(spark: SparkSession, sf: str, scale: int = 1) -> DataFrame:
-    return J.serving_view(consolidated_of(spark, sf, scale), I.profiles(spark, sf))
+    known = I.profiles(spark, sf)
+    return J.serving_view(consolidated_of(spark, sf, scale, known), known)
 
 
 def silver_customers_of(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,110 +7,118 @@ events and orders with line items.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from patronage.contracts import PROFILE_COLUMNS
-from patronage.functions.money import from_cents, to_cents
-from patronage.functions.times import ms_to_ts, ts_to_ms
+from patronage.contracts import PROFILE_COLUMNS, columns_of
+from patronage.functions.times import ms_to_ts
 from patronage.operators.keyed import latest_by_offset
 
-DAY_MS = 86_400_000
-EPOCH_2020 = 1_577_836_800_000
+# Declared, so that reading a table starts no schema-inference job. The stored timestamps carry no zone and are read
+# as instants of the session zone, which `table` sets to UTC.
+SCHEMAS = {
+    "customer": columns_of("c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"),
+    "supplier": columns_of("s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double"),
+    "orders": columns_of(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, "
+        "o_orderpriority string"
+    ),
+    "lineitem": columns_of(
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": columns_of(
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _amount(price: Column, scale: int) -> Column:
+def _amount(price: str, scale: int) -> str:
     """Price divided by a whole number, cut to cents."""
-    return from_cents(F.call_function("div", to_cents(price), F.lit(scale).cast("bigint")))
+    return f"(bigint(floor({price} * 100.0D + 0.5D)) div {scale}L) / 100.0D"
+
+
+def _ms(instant: str) -> str:
+    return f"unix_millis(timestamp({instant}))"
 
 
 def order_events(spark: SparkSession, sf_dir: str, scale: int = 1) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    total = _amount(F.col("o_totalprice"), scale)
-    sku = F.concat(F.lit("SKU-"), (F.col("o_orderkey") % 6).cast("string"))
-    return o.select(
-        (F.col("o_orderkey") * 2 + 1).alias("source_seq"),
-        F.col("o_orderkey").cast("string").alias("order_id"),
-        F.col("o_custkey").cast("string").alias("customer_id"),
-        total.alias("order_total"),
-        F.array(F.struct(sku.alias("sku"), F.lit(1).alias("quantity"), total.alias("price"))).alias("items"),
-        F.lit("USD").alias("currency"),
-        F.nullif("o_orderpriority", F.lit("4-NOT SPECIFIED")).alias("channel"),
-        (ts_to_ms(F.col("o_orderdate")) + F.col("o_orderkey") * 1237 % DAY_MS).alias("placed_at"),
+    total = _amount("o_totalprice", scale)
+    return table(spark, sf_dir, "orders").selectExpr(
+        "o_orderkey * 2 + 1 AS source_seq",
+        "string(o_orderkey) AS order_id",
+        "string(o_custkey) AS customer_id",
+        f"{total} AS order_total",
+        f"array(struct('SKU-' || string(o_orderkey % 6) AS sku, 1 AS quantity, {total} AS price)) AS items",
+        "'USD' AS currency",
+        "nullif(o_orderpriority, '4-NOT SPECIFIED') AS channel",
+        f"{_ms('o_orderdate')} + o_orderkey * 1237 % 86400000 AS placed_at",
     )
 
 
 def resent_orders(spark: SparkSession, sf_dir: str, scale: int = 1) -> DataFrame:
     """Line items read as order events: order ids repeat, many customers share an order id."""
-    return table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").cast("string").alias("order_id"),
-        F.col("l_suppkey").cast("string").alias("customer_id"),
-        _amount(F.col("l_extendedprice"), scale).alias("order_total"),
-        ts_to_ms(F.col("l_shipdate")).alias("placed_at"),
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "string(l_orderkey) AS order_id", "string(l_suppkey) AS customer_id",
+        f"{_amount('l_extendedprice', scale)} AS order_total", f"{_ms('l_shipdate')} AS placed_at",
     )
 
 
 def activation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    delivered = F.col("event_type").isin("click", "view", "purchase")
-    return e.select(
-        (F.col("event_id") * 3 + 2).alias("source_seq"),
-        F.col("event_id").cast("string").alias("activation_id"),
-        F.concat(F.lit("ENG-"), F.col("event_id").cast("string")).alias("order_id"),
-        F.col("user_id").cast("string").alias("customer_id"),
-        F.col("event_type").alias("channel"),
-        F.when(delivered, "delivered").otherwise("failed").alias("status"),
-        F.when(delivered, ts_to_ms(F.col("ts"))).alias("delivered_at"),
-        (F.get_json_object("props", "$.k").cast("int") % 3 + 1).alias("attempts"),
+    delivered = "event_type IN ('click', 'view', 'purchase')"
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id * 3 + 2 AS source_seq",
+        "string(event_id) AS activation_id",
+        "'ENG-' || string(event_id) AS order_id",
+        "string(user_id) AS customer_id",
+        "event_type AS channel",
+        f"if({delivered}, 'delivered', 'failed') AS status",
+        f"if({delivered}, {_ms('ts')}, NULL) AS delivered_at",
+        "int(get_json_object(props, '$.k')) % 3 + 1 AS attempts",
     )
 
 
 def first_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One profile event per customer and per supplier; some stages, e-mails and names are missing or blank."""
-    c, s = table(spark, sf_dir, "customer"), table(spark, sf_dir, "supplier")
-    key = F.col("c_custkey")
-    customers = c.select(
-        (key * 21 + 1).alias("source_seq"),
-        key.cast("string").alias("customer_id"),
-        F.when(key % 5 != 0, F.concat(F.lower("c_name"), F.lit("@example.com"))).alias("email"),
-        F.when(key % 10 == 0, "").otherwise("Customer").alias("first_name"),
-        F.substring_index("c_name", "#", -1).alias("last_name"),
-        (F.lit(EPOCH_2020) + key * 60001).alias("created_at"),
-        F.when(key % 7 != 0, F.lower("c_mktsegment")).alias("lifecycle_stage"),
-        (F.col("c_acctbal") >= 0).alias("is_active"),
+    customers = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey * 21 + 1 AS source_seq",
+        "string(c_custkey) AS customer_id",
+        "if(c_custkey % 5 <> 0, lower(c_name) || '@example.com', NULL) AS email",
+        "if(c_custkey % 10 = 0, '', 'Customer') AS first_name",
+        "substring_index(c_name, '#', -1) AS last_name",
+        "1577836800000 + c_custkey * 60001 AS created_at",
+        "if(c_custkey % 7 <> 0, lower(c_mktsegment), NULL) AS lifecycle_stage",
+        "c_acctbal >= 0 AS is_active",
     )
-    supp = F.col("s_suppkey")
-    suppliers = s.select(
-        (supp * 21 + 1).alias("source_seq"),
-        F.concat(F.lit("S-"), supp.cast("string")).alias("customer_id"),
-        F.concat(F.lit("s"), supp.cast("string"), F.lit("@example.com")).alias("email"),
-        F.lit("Supplier").alias("first_name"),
-        F.substring_index("s_name", "#", -1).alias("last_name"),
-        (F.lit(EPOCH_2020) + supp * 60001).alias("created_at"),
-        F.lit("prospect").alias("lifecycle_stage"),
-        F.lit(False).alias("is_active"),
+    suppliers = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey * 21 + 1 AS source_seq",
+        "'S-' || string(s_suppkey) AS customer_id",
+        "'s' || string(s_suppkey) || '@example.com' AS email",
+        "'Supplier' AS first_name",
+        "substring_index(s_name, '#', -1) AS last_name",
+        "1577836800000 + s_suppkey * 60001 AS created_at",
+        "'prospect' AS lifecycle_stage",
+        "false AS is_active",
     )
     return customers.unionByName(suppliers)
 
 
 def profile_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event as a partial profile update: names always missing, e-mail and stage now and then."""
-    e, key = table(spark, sf_dir, "events"), F.col("event_id")
-    none = F.lit(None).cast("string")
-    return e.select(
-        (key * 3).alias("source_seq"),
-        F.col("user_id").cast("string").alias("customer_id"),
-        F.when(key % 3 != 0, F.concat(F.lit("u"), key.cast("string"), F.lit("@mail.example.com"))).alias("email"),
-        none.alias("first_name"),
-        none.alias("last_name"),
-        ts_to_ms(F.col("ts")).alias("created_at"),
-        F.when(key % 5 != 0, F.col("event_type")).alias("lifecycle_stage"),
-        (F.col("event_type") != "error").alias("is_active"),
+    return table(spark, sf_dir, "events").selectExpr(
+        "event_id * 3 AS source_seq",
+        "string(user_id) AS customer_id",
+        "if(event_id % 3 <> 0, 'u' || string(event_id) || '@mail.example.com', NULL) AS email",
+        "string(NULL) AS first_name",
+        "string(NULL) AS last_name",
+        f"{_ms('ts')} AS created_at",
+        "if(event_id % 5 <> 0, event_type, NULL) AS lifecycle_stage",
+        "event_type <> 'error' AS is_active",
     )
 
 
@@ -123,4 +131,4 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_form(events: DataFrame, instant: str) -> DataFrame:
-    return events.withColumn(instant, ms_to_ts(F.col(instant)))
+    return events.withColumn(instant, ms_to_ts(events[instant]))
