@@ -111,6 +111,17 @@ TABLES = {
 }
 
 
+@dataclass(frozen=True)
+class Scope:
+    """Keys a read is restricted to, with the buckets they fall into (None: most of them)."""
+
+    keys: DataFrame
+    buckets: tuple[int, ...] | None
+
+    def prune(self) -> Column | None:
+        return None if self.buckets is None else F.col("bucket").isin(list(self.buckets))
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
         self.spark, self.root, self.buckets = spark, root.rstrip("/"), buckets
@@ -153,10 +164,11 @@ class Lake:
         base = self.spark.read.schema(full).parquet(self.path(table.layer, table.name, "base", f"upto={bases[-1]}"))
         return (base if prune is None else base.where(prune)).drop("bucket"), bases[-1]
 
-    def _buckets_of(self, keys: DataFrame, column: str) -> Column | None:
-        """Partition filter for a key set, or None when it covers most buckets (collects bucket numbers only)."""
-        rows = keys.select(self.bucket(F.col(column)).alias("b")).distinct().collect()
-        return None if len(rows) > self.buckets // 2 else F.col("bucket").isin([r["b"] for r in rows])
+    def scope(self, keys: DataFrame) -> Scope:
+        """Restriction to the values of a one-column frame; only bucket numbers come to the driver."""
+        wanted = keys.distinct()
+        rows = wanted.select(self.bucket(F.col(keys.columns[0])).alias("b")).distinct().collect()
+        return Scope(wanted, None if len(rows) > self.buckets // 2 else tuple(sorted(r["b"] for r in rows)))
 
     def _current(
         self, table: KeyedTable, prune: Column | None = None,
@@ -165,6 +177,8 @@ class Lake:
         keys, rank = list(table.keys), [*table.order_by, "batch"]
         base, upto = self._base(table, prune)
         changes = self._changes(table, upto)
+        if base is not None and not any(b > upto for b in self.batches(table.layer, table.name)):
+            return restrict(base)
         if base is None:
             rows = latest_row(changes, keys, rank)
         else:
@@ -179,18 +193,18 @@ class Lake:
     def _live(self, table: KeyedTable, rows: DataFrame) -> DataFrame:
         return rows.where(~F.coalesce(F.col(table.deleted), F.lit(False))) if table.deleted else rows
 
-    def read(self, layer: str, name: str, within: DataFrame | None = None) -> DataFrame:
-        """Current rows, restricted to the `cluster_by` values of `within` when given."""
+    def read(self, layer: str, name: str, within: Scope | None = None) -> DataFrame:
+        """Current rows, restricted to the `cluster_by` values in scope when given."""
         table = TABLES[layer, name]
         if within is None:
             rows = self._current(table)
         else:
-            wanted = within.select(table.cluster_by).distinct()
-            prune = self._buckets_of(wanted, table.cluster_by) if self._committed(layer, name, "base/upto=*") else None
-            rows = self._current(table, prune, lambda df: df.join(wanted, table.cluster_by, "left_semi"))
+            rows = self._current(
+                table, within.prune(), lambda df: df.join(within.keys, table.cluster_by, "left_semi")
+            )
         return self._live(table, rows).select(*table.schema.fieldNames())
 
-    def read_or_empty(self, layer: str, name: str, within: DataFrame | None = None) -> DataFrame:
+    def read_or_empty(self, layer: str, name: str, within: Scope | None = None) -> DataFrame:
         """As `read`; a table nobody has written yet has no rows. Both cases have the same schema."""
         if self.exists(layer, name):
             return self.read(layer, name, within)

@@ -29,7 +29,7 @@ from patronage.operators.keyed import fold_serving_batch, latest_by_offset, mono
 from patronage.operators.normalise import SERVING_COLUMNS, normalise_rows
 from patronage.sources import fs
 from patronage.sources.events import RECORD, read_events
-from patronage.sources.lake import TABLES, Lake
+from patronage.sources.lake import TABLES, Lake, Scope
 
 Batch = Callable[[DataFrame, int], None]
 SILVER = {"customers": (PROFILE, curate_customers), "orders": (ORDER, curate_orders), "activations": (ACTIVATION, curate_activations)}
@@ -150,18 +150,17 @@ class Pipeline:
                     keys = keys.unionByName(owners.join(ids, key, "left_semi").select("customer_id"))
             keys = keys.where(F.col("customer_id").isNotNull()).distinct().persist()
             try:
-                self._upsert(self.gold_rows(keys), batch_id, "gold", "c360")
+                self._upsert(self.gold_rows(self.lake.scope(keys)), batch_id, "gold", "c360")
             finally:
                 keys.unpersist()
 
         return self.each_batch(changed, "gold_c360", refresh)
 
-    def gold_rows(self, keys: DataFrame | None = None) -> DataFrame:
-        read = self.lake.read_or_empty
-        rows = J.build_c360(
-            read("silver", "customers", keys), read("silver", "orders", keys), read("silver", "activations", keys),
-            unique_orders=True,
-        )
+    def gold_rows(self, within: Scope | None = None) -> DataFrame:
+        customers, orders, activations = [
+            self.lake.read_or_empty("silver", name, within) for name in ("customers", "orders", "activations")
+        ]
+        rows = J.build_c360(customers, orders, activations, unique_orders=True)
         return rows.withColumn("updated_at", F.current_timestamp())
 
     # -- publishing -----------------------------------------------------------------------------------------
@@ -199,8 +198,8 @@ class Pipeline:
         messages = read_events(self.spark, path, "json", schema=RECORD)
 
         def merge(batch: DataFrame, batch_id: int) -> None:
-            keys = batch.select(F.col("key").alias("customer_id")).distinct()
-            current = self.lake.read_or_empty("serving", "customers", keys)
+            within = self.lake.scope(batch.select(F.col("key").alias("customer_id")))
+            current = self.lake.read_or_empty("serving", "customers", within)
             self._upsert(serving_batch(current, batch), batch_id, "serving", "customers")
 
         return self.each_batch(messages, "serving_customers", merge)
@@ -214,8 +213,7 @@ class Pipeline:
         )
 
         def enrich(batch: DataFrame, batch_id: int) -> None:
-            keys = batch.select("customer_id").distinct()
-            known = self.lake.read_or_empty("live", "profile", keys)
+            known = self.lake.read_or_empty("live", "profile", self.lake.scope(batch.select("customer_id")))
             profiles = batch.where("kind = 'profile'").select("source_seq", "customer_id", *PROFILE_COLUMNS)
             versions = known.withColumn("source_seq", F.lit(-1).cast("bigint")).unionByName(profiles)
             orders = batch.where("kind = 'order'")
@@ -248,9 +246,8 @@ class Pipeline:
         """A change on either side of the join emits the customer again."""
 
         def join(batch: DataFrame, batch_id: int) -> None:
-            keys = batch.select("customer_id").distinct()
-            read = self.lake.read_or_empty
-            rows = J.segment_source(read("live", "order_summary", keys), read("live", "profile", keys))
+            within, read = self.lake.scope(batch.select("customer_id")), self.lake.read_or_empty
+            rows = J.segment_source(read("live", "order_summary", within), read("live", "profile", within))
             self._upsert(rows, batch_id, "live", "segment_source")
 
         return self.each_batch(self._changed_customers("order_summary", "profile"), "live_segment_source", join)
