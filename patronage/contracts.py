@@ -14,7 +14,7 @@ class Contract:
     key: str
     time_col: str
     required: tuple[str, ...]
-    defaults: dict[str, object] = field(default_factory=dict)
+    defaults: dict[str, object] = field(default_factory=dict, hash=False)
 
 
 _TYPES = {

@@ -85,12 +85,18 @@ class Pipeline:
         return writer.foreachBatch(call).trigger(**self.trigger).start()
 
     def upsert_stream(self, stream: DataFrame, layer: str, name: str, mode: str = "append") -> StreamingQuery:
-        return self.each_batch(stream, f"{layer}_{name}", lambda df, n: self._upsert(df, n, layer, name), mode)
+        def write(batch: DataFrame, batch_id: int) -> None:
+            if not self._upsert(batch, batch_id, layer, name):
+                # a replayed batch is not written again, but a stateful query must still bring its state forward
+                batch.write.format("noop").mode("overwrite").save()
 
-    def _upsert(self, df: DataFrame, batch_id: int, layer: str, name: str) -> None:
+        return self.each_batch(stream, f"{layer}_{name}", write, mode)
+
+    def _upsert(self, df: DataFrame, batch_id: int, layer: str, name: str) -> bool:
         written = self.lake.upsert_batch(df, batch_id, layer, name)
         if written and batch_id % self.compact_every == self.compact_every - 1:
             self.lake.compact(layer, name)
+        return written
 
     def append_stream(self, stream: DataFrame, name: str, path: str, fmt: str = "parquet") -> StreamingQuery:
         writer = stream.writeStream.queryName(name).outputMode("append").format(fmt)

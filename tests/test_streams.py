@@ -1,0 +1,208 @@
+import glob
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from patronage import ACTIVATION, ORDER, PROFILE
+from patronage.contracts import PROFILE_COLUMNS
+from patronage.operators import joins as J
+from patronage.operators import keyed as K
+from patronage.streaming.pipeline import Pipeline
+
+PROFILES = [
+    (1, {"customer_id": "a", "email": "a@1", "first_name": "A", "created_at": 1, "lifecycle_stage": "prospect", "is_active": False}),
+    (4, {"customer_id": "b", "first_name": "B", "created_at": 2}),
+    (6, {"customer_id": "a", "email": "a@2", "created_at": 3}),
+    (7, {"customer_id": "idle", "email": "i@1", "created_at": 3}),
+    (12, {"customer_id": "b", "email": "b@1", "created_at": 5, "lifecycle_stage": "late"}),
+]
+ORDERS = [
+    (seq, {"order_id": o, "customer_id": c, "order_total": t, "items": [{"sku": "s", "quantity": 1, "price": t}], "placed_at": at})
+    for seq, o, c, t, at in [(2, "o1", "a", 10.5, 100), (3, "o2", "b", 1.25, 110), (5, "o3", "ghost", 3.0, 90), (8, "o4", "a", 0.1, 95),
+                             (9, "o2", "b", 2.25, 130), (13, "o5", "a", 5.0, 500)]
+]
+ACTIVATIONS = [
+    (seq, {"activation_id": i, "order_id": "x", "customer_id": c, "channel": "sms", "status": s, "delivered_at": at, "attempts": 1})
+    for seq, i, c, s, at in [(10, "m1", "a", "delivered", 7), (11, "m2", "a", "failed", None), (14, "m1", "a", "failed", None), (15, "m3", "b", "delivered", 9)]
+]
+EVENTS = {PROFILE: PROFILES, ORDER: ORDERS, ACTIVATION: ACTIVATIONS}
+
+
+ASOF = sorted([(2, "a@1", "prospect"), (3, None, None), (5, None, None), (8, "a@2", "prospect"), (9, None, None), (13, "a@2", "prospect")], key=str)
+
+
+def drop(path, number, spec, events):
+    """One file of records; file times follow the numbers, so arrival order is fixed."""
+    os.makedirs(path, exist_ok=True)
+    file = f"{path}/{number:04d}.json"
+    with open(file, "w") as out:
+        for seq, value in events:
+            out.write(json.dumps({"key": value.get(spec.key) if isinstance(value, dict) else "k", "value": json.dumps(value) if isinstance(value, dict) else value,
+                                  "timestamp": "2024-01-01T00:00:00Z", "source_seq": seq}) + "\n")
+    os.utime(file, (1_700_000_000 + number, 1_700_000_000 + number))
+
+
+@pytest.fixture
+def pipe(spark, root):
+    topics = {s.name: f"{root}/topics/{s.name}" for s in EVENTS}
+    for path in topics.values():
+        os.makedirs(path)
+    return Pipeline(spark, f"{root}/work", topics, options={"maxFilesPerTrigger": "1"}, buckets=4, compact_every=3)
+
+
+def feed(pipe, spec, files=3):
+    events = EVENTS[spec]
+    size = -(-len(events) // files)
+    for n in range(files):
+        drop(pipe.topics[spec.name], n, spec, events[n * size:(n + 1) * size])
+
+
+def run_lake(pipe):
+    for step in (
+        [lambda s=s: pipe.run_bronze(s) for s in EVENTS],
+        [lambda n=n: pipe.run_silver(n) for n in ("customers", "orders", "activations")],
+        [pipe.run_gold],
+    ):
+        pipe.finish(*[start() for start in step])
+
+
+GOLD = ("customer_id", "email", "first_name", "lifecycle_stage", "is_active", "lifetime_value", "order_count", "delivered_messages", "failed_messages")
+WANT_GOLD = sorted([
+    ("a", "a@2", None, None, True, 15.6, 3, 0, 2), ("b", "b@1", None, "late", True, 2.25, 1, 1, 0), ("ghost", None, None, None, None, 3.0, 1, 0, 0),
+], key=str)
+
+
+def test_lake_path_end_to_end(pipe, rows_of):
+    for spec in EVENTS:
+        feed(pipe, spec)
+    run_lake(pipe)
+    assert rows_of(pipe.lake.read("gold", "c360"), *GOLD) == WANT_GOLD
+    batches = pipe.lake.batches("gold", "c360")
+
+    run_lake(pipe)  # nothing new: the checkpoints hold
+    assert pipe.lake.batches("gold", "c360") == batches
+
+    # a customer without orders stays out; an order that moves to another customer refreshes both
+    moved = {**ORDERS[5][1], "customer_id": "b"}
+    drop(pipe.topics["order"], 50, ORDER, [(20, moved)])
+    run_lake(pipe)
+    got = {r.customer_id: r for r in pipe.lake.read("gold", "c360").collect()}
+    assert set(got) == {"a", "b", "ghost"}
+    assert (got["a"].lifetime_value, got["a"].order_count) == (10.6, 2)
+    assert (got["b"].lifetime_value, got["b"].order_count) == (7.25, 2)
+
+    whole = {r.customer_id: r for r in pipe.gold_rows().collect()}
+    assert {c: r[:-1] for c, r in whole.items()} == {c: r[:-1] for c, r in got.items()}
+
+    pipe.finish(pipe.run_publish_c360())
+    pipe.finish(pipe.run_publish_propensity())
+    pipe.finish(pipe.run_serving())
+    rows = {r.customer_id: r for r in pipe.lake.read("serving", "customers").collect()}
+    assert (rows["b"].order_count, rows["b"].lifetime_value, rows["b"].email, rows["b"].last_order_ts) == (2, 7.25, "b@1", 500)
+    # serving counters never go back
+    assert (rows["a"].order_count, rows["a"].lifetime_value) == (3, 15.6)
+    sent = pipe.spark.read.json(pipe.published_path("propensity")).select(F.get_json_object("value", "$.propensity").cast("double")).collect()
+    assert all(0.5 <= r[0] <= 1.0 for r in sent)
+
+
+def test_replay_of_a_batch_adds_nothing(pipe, rows_of):
+    feed(pipe, PROFILE)
+    feed(pipe, ORDER)
+    pipe.finish(pipe.run_live_order_summary())
+    pipe.finish(pipe.run_live_orders())
+    before = rows_of(pipe.lake.read("live", "order_summary")), rows_of(pipe.lake.read("live", "enriched_orders"))
+    files = len(glob.glob(pipe.lake.path("live", "*", "changes", "*", "*.parquet")))
+    for name in ("live_order_summary", "live_orders"):
+        commits = sorted(glob.glob(f"{pipe._checkpoint(name)}/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+        os.rename(commits[-1], f"{pipe.root}/uncommitted-{name}")  # as if the driver died just before the commit
+        crc = f"{os.path.dirname(commits[-1])}/.{os.path.basename(commits[-1])}.crc"
+        if os.path.exists(crc):
+            os.rename(crc, f"{pipe.root}/uncommitted-{name}.crc")
+    pipe.finish(pipe.run_live_order_summary())
+    pipe.finish(pipe.run_live_orders())
+    assert (rows_of(pipe.lake.read("live", "order_summary")), rows_of(pipe.lake.read("live", "enriched_orders"))) == before
+    assert len(glob.glob(pipe.lake.path("live", "*", "changes", "*", "*.parquet"))) == files
+
+
+def test_streamed_summaries_equal_batch(pipe, rows_of):
+    feed(pipe, ORDER)
+    feed(pipe, ACTIVATION)
+    pipe.finish(pipe.run_live_order_summary(), pipe.run_live_activation_summary())
+    assert rows_of(pipe.lake.read("live", "order_summary")) == [("a", 15.6, 3, 500), ("b", 3.5, 2, 130), ("ghost", 3.0, 1, 90)]
+    assert rows_of(pipe.lake.read("live", "activation_summary")) == [("a", 1, 2, 7), ("b", 1, 0, 9)]
+
+
+def test_asof_stream_equals_batch_and_is_not_revised(spark, pipe, rows_of):
+    # one file per event of either topic, in the order of the sequence
+    for spec in (PROFILE, ORDER):
+        for event in EVENTS[spec]:
+            drop(pipe.topics[spec.name], event[0], spec, [event])
+    pipe.finish(pipe.run_live_orders())
+    streamed = pipe.lake.read("live", "enriched_orders")
+    assert rows_of(streamed, "source_seq", "customer_email", "lifecycle_stage") == ASOF
+    profile = rows_of(pipe.lake.read("live", "profile"), "customer_id", "email", "first_name", "lifecycle_stage")
+    assert profile == [("a", "a@2", "A", "prospect"), ("b", "b@1", "B", "late"), ("idle", "i@1", None, None)]
+
+
+def test_asof_stream_in_one_batch_follows_the_sequence(spark, pipe, rows_of):
+    pipe.options = {}
+    feed(pipe, PROFILE)
+    feed(pipe, ORDER)
+    pipe.finish(pipe.run_live_orders())
+    assert rows_of(pipe.lake.read("live", "enriched_orders"), "source_seq", "customer_email", "lifecycle_stage") == ASOF
+
+
+def test_single_aggregation_c360(pipe, rows_of):
+    for spec in EVENTS:
+        feed(pipe, spec)
+    pipe.finish(pipe.run_live_c360())
+    got = rows_of(pipe.lake.read("live", "c360"), "customer_id", "email", "lifetime_value", "order_count", "delivered_messages", "failed_messages")
+    assert got == sorted([("a", "a@2", 15.6, 3, 1, 2), ("b", "b@1", 3.5, 2, 1, 0), ("ghost", None, 3.0, 1, 0, 0), ("idle", "i@1", 0.0, 0, 0, 0)], key=str)
+
+
+def test_segments_follow_either_side_of_the_join(pipe, rows_of):
+    feed(pipe, ORDER)
+    drop(pipe.topics["profile"], 0, PROFILE, [PROFILES[0]])
+
+    def run():
+        pipe.finish(pipe.run_live_order_summary(), pipe.run_live_orders())
+        pipe.finish(pipe.run_live_segment_source())
+        pipe.finish(pipe.run_live_segments(now=F.lit(1)))
+        return rows_of(pipe.lake.read("live", "segments"), "customer_id", "segment", "score")
+
+    assert run() == [("a", "growth", 0.38), ("b", "growth", 0.22), ("ghost", "unknown", 0.12)]
+    drop(pipe.topics["profile"], 1, PROFILE, [(30, {"customer_id": "ghost", "created_at": 1, "lifecycle_stage": "engaged"})])
+    assert run() == [("a", "growth", 0.38), ("b", "growth", 0.22), ("ghost", "engaged", 0.12)]
+
+
+def test_quarantine(pipe, rows_of):
+    drop(pipe.topics["activation"], 0, ACTIVATION, [ACTIVATIONS[0], (2, "{broken"), (3, None)])
+    pipe.finish(pipe.run_bronze(ACTIVATION), pipe.run_quarantine(ACTIVATION))
+    assert pipe.spark.read.parquet(pipe.bronze_path(ACTIVATION)).count() == 1
+    assert rows_of(pipe.spark.read.parquet(f"{pipe.root}/quarantine/activation"), "source_seq", "reason") == [(2, "unreadable"), (3, "null_value")]
+
+
+def test_serving_deletes_take_effect_in_message_order(spark, pipe, rows_of):
+    source = f"{pipe.root}/messages"
+
+    def send(number, *messages):
+        os.makedirs(source, exist_ok=True)
+        with open(f"{source}/{number}.json", "w") as out:
+            for seq, key, value in messages:
+                out.write(json.dumps({"key": key, "value": None if value is None else json.dumps(value), "timestamp": "2024-01-01T00:00:00Z", "source_seq": seq}) + "\n")
+        pipe.finish(pipe.run_serving(source))
+        return rows_of(pipe.lake.read("serving", "customers"), "customer_id", "order_count", "email")
+
+    assert send(0, (1, "a", {"order_count": 5, "email": "x"}), (2, "a", {"order_count": 3}), (3, "b", {"ORDER_COUNT": "2"}), (4, "c", [1])) == [
+        ("a", 5, "x"), ("b", 2, None)]
+    assert send(1, (5, "a", None), (6, "a", {"order_count": 1}), (7, "b", {"order_count": 9}), (8, "b", None), (9, "zz", None)) == [("a", 1, None)]
+    assert send(2, (10, "a", {"order_count": 2, "email": {"string": "y"}}), (11, "b", {"order_count": 1})) == [("a", 2, "y"), ("b", 1, None)]
+
+
+def test_kafka_source_names_the_missing_connector(spark):
+    from patronage.sources.events import read_events
+
+    with pytest.raises(Exception, match="(?i)kafka"):
+        read_events(spark, "topic", "kafka", options={"kafka.bootstrap.servers": "nowhere:1"})
