@@ -92,12 +92,17 @@ def segment_source(summary: DataFrame, profiles: DataFrame) -> DataFrame:
     )
 
 
-def consolidate(summary: DataFrame, profiles: DataFrame, activations: DataFrame) -> DataFrame:
-    """Order summary with profile and message summary; customers without orders are not part of it."""
+def consolidate(
+    summary: DataFrame, profiles: DataFrame, activations: DataFrame, without_orders: bool = False
+) -> DataFrame:
+    """Order summary with profile and message summary. Customers known by profile only are part of it when
+    `without_orders` is set, with no orders and a value of 0."""
     known = profiles.select("customer_id", "first_name", "last_name", "email", "lifecycle_stage", "is_active")
+    rows = summary.join(known, "customer_id", "full_outer" if without_orders else "left")
+    if without_orders:
+        rows = rows.fillna({"order_count": 0, "lifetime_value": 0.0})
     return (
-        summary.join(known, "customer_id", "left")
-        .join(activations, "customer_id", "left")
+        rows.join(activations, "customer_id", "left")
         .select(
             "customer_id", "order_count", "lifetime_value", "last_order_ts", *known.columns[1:],
             F.coalesce("delivered_messages", F.lit(0).cast("bigint")).alias("delivered_messages"),

@@ -32,9 +32,15 @@ def latest_by_offset(df: DataFrame, key: str, cols: Sequence[str], seq: str = "s
     return df.groupBy(key).agg(*[newest_value(c, seq).alias(c) for c in cols])
 
 
-def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
-    """Keys in the batch are replaced by their newest batch row, other keys stay; null keys never match and are dropped."""
-    newest = latest_row(batch.dropna(subset=list(keys)), keys, order_by)
+def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
+    """Keys in the batch are replaced by their newest batch row, other keys stay; null keys never match and are dropped.
+
+    Without `order_by` the batch must hold one row per key. Current rows are only filtered, so a batch whose keys are
+    small enough to be broadcast leaves them unshuffled.
+    """
+    newest = batch.dropna(subset=list(keys))
+    if order_by:
+        newest = latest_row(newest, keys, order_by)
     return current.join(newest.select(*keys), list(keys), "left_anti").unionByName(newest.select(*current.columns))
 
 

@@ -30,14 +30,14 @@ def order_summary_of(spark: SparkSession, sf: str, scale: int = 1) -> DataFrame:
     return M.order_summary(I.order_events(spark, sf, scale).withColumnRenamed("placed_at", "order_placed_at"))
 
 
-def consolidated_of(spark: SparkSession, sf: str, scale: int = 1, known: DataFrame | None = None) -> DataFrame:
+def consolidated_of(spark: SparkSession, sf: str, scale: int = 1, without_orders: bool = False) -> DataFrame:
     messages = M.activation_summary(I.activation_events(spark, sf))
-    return J.consolidate(order_summary_of(spark, sf, scale), known or I.profiles(spark, sf), messages)
+    return J.consolidate(order_summary_of(spark, sf, scale), I.profiles(spark, sf), messages, without_orders)
 
 
 def serving_of(spark: SparkSession, sf: str, scale: int = 1) -> DataFrame:
-    known = I.profiles(spark, sf)
-    return J.serving_view(consolidated_of(spark, sf, scale, known), known)
+    """The serving rows in one pass over each source."""
+    return consolidated_of(spark, sf, scale, without_orders=True).drop("last_engagement_ts")
 
 
 def silver_customers_of(spark: SparkSession, sf: str) -> DataFrame:
@@ -45,6 +45,7 @@ def silver_customers_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_orders_of(spark: SparkSession, sf: str, scale: int = 1) -> DataFrame:
+    """One row per order id, as silver keeps them (the orders table is keyed by it)."""
     return I.silver_form(I.order_events(spark, sf, scale), "placed_at")
 
 
@@ -74,8 +75,8 @@ C360_NO_ACTIVATIONS_SQL = given("order_events", "silver_customers") + _C360.form
 
 @query("gold_c360", C360_SQL)
 def gold_c360(spark: SparkSession, sf: str) -> DataFrame:
-    rows = J.build_c360(silver_customers_of(spark, sf), silver_orders_of(spark, sf), I.activation_events(spark, sf))
-    return V.with_last_order_ts(rows)
+    customers, orders = silver_customers_of(spark, sf), silver_orders_of(spark, sf)
+    return V.with_last_order_ts(J.build_c360(customers, orders, I.activation_events(spark, sf), unique_orders=True))
 
 
 @query("gold_c360_no_activations", C360_NO_ACTIVATIONS_SQL)
@@ -335,7 +336,7 @@ _VIEW = """customer_id, email, first_name, last_name, lifecycle_stage, is_active
 
 @query("serving_view", given("serving") + f"SELECT {_VIEW} FROM serving")
 def serving_view(spark: SparkSession, sf: str) -> DataFrame:
-    return serving_of(spark, sf)
+    return J.serving_view(consolidated_of(spark, sf), I.profiles(spark, sf))
 
 
 @query("touched_recompute", C360_SQL)
@@ -343,13 +344,13 @@ def touched_recompute(spark: SparkSession, sf: str) -> DataFrame:
     """Gold before any message arrived, brought up to date for the customers the messages touch."""
     customers, orders = silver_customers_of(spark, sf), silver_orders_of(spark, sf)
     activations = I.activation_events(spark, sf)
-    before = V.with_last_order_ts(J.build_c360(customers, orders, None))
+    before = V.with_last_order_ts(J.build_c360(customers, orders, None, unique_orders=True))
     keys = activations.select("customer_id")
     rebuilt = J.build_c360(
         J.touched(customers, keys), J.touched(orders, keys, hot=hot_keys(orders, "customer_id"), spread_on="order_id"),
-        activations,
+        activations, unique_orders=True,
     )
-    return K.upsert(before, V.with_last_order_ts(rebuilt), ["customer_id"], ["order_count"])
+    return K.upsert(before, V.with_last_order_ts(rebuilt), ["customer_id"])
 
 
 # -- aggregates -------------------------------------------------------------------------------------------------
