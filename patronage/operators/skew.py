@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 64
+BROADCAST_KEYS = 500_000  # key sets up to this many rows (tens of megabytes) go to every executor
 
 
 def shuffle_width(df: DataFrame) -> int:
@@ -30,7 +31,8 @@ def hot_keys(df: DataFrame, key: str, parts: int | None = None) -> list[str]:
 
 
 def spread_join(
-    left: DataFrame, right: DataFrame, key: str, how: str, hot: Sequence[str], spread_on: str, salts: int = SALTS
+    left: DataFrame, right: DataFrame, key: str, how: str, hot: Sequence[str], spread_on: str | Sequence[str],
+    salts: int = SALTS,
 ) -> DataFrame:
     """Equi-join that splits the left rows of hot keys over `salts` tasks and copies the matching right rows.
 
@@ -40,14 +42,26 @@ def spread_join(
     if not hot:
         return left.join(right, key, how)
     is_hot = F.col(key).isin(list(hot))
+    spread_on = [spread_on] if isinstance(spread_on, str) else list(spread_on)
     salted_left = left.withColumn(
-        "_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_on), F.lit(salts)).cast("int")).otherwise(F.lit(0))
+        "_salt", F.when(is_hot, F.pmod(F.xxhash64(*spread_on), F.lit(salts)).cast("int")).otherwise(F.lit(0))
     )
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     salted_right = right.withColumn("_salt", F.explode(copies))
     return salted_left.join(salted_right, [key, "_salt"], how).drop("_salt")
 
 
+def restrict_to_keys(
+    df: DataFrame, keys: DataFrame, key: str, key_count: int, spread_on: Sequence[str], limit: int = BROADCAST_KEYS
+) -> DataFrame:
+    """Rows whose key is among the distinct `keys`. A counted, small key set is broadcast, so the rows stay where they
+    are; a larger one is joined by shuffle, with the hot keys of `df` spread."""
+    if key_count <= limit:
+        return df.join(F.broadcast(keys), key, "left_semi")
+    hot = [] if list(spread_on) == [key] else hot_keys(df, key)
+    return spread_join(df, keys, key, "left_semi", hot, spread_on)
+
+
 def segment_bounds(df: DataFrame, key: str, seq: str, hot: Sequence[str], segments: int = 256) -> list[int]:
     """Cut points of `seq` giving each segment about the same number of hot-key rows (at most segments - 1)."""
     shares = [i / segments for i in range(1, segments)]

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from patronage.contracts import columns_of
 from patronage.operators.keyed import latest_row
+from patronage.operators.skew import restrict_to_keys
 from patronage.sources import fs
 
 
@@ -113,9 +114,10 @@ TABLES = {
 
 @dataclass(frozen=True)
 class Scope:
-    """Keys a read is restricted to, with the buckets they fall into (None: most of them)."""
+    """Keys a read is restricted to, how many they are, and the buckets they fall into (None: most of them)."""
 
     keys: DataFrame
+    count: int
     buckets: tuple[int, ...] | None
 
     def prune(self) -> Column | None:
@@ -165,10 +167,11 @@ class Lake:
         return (base if prune is None else base.where(prune)).drop("bucket"), bases[-1]
 
     def scope(self, keys: DataFrame) -> Scope:
-        """Restriction to the values of a one-column frame; only bucket numbers come to the driver."""
-        wanted = keys.distinct()
-        rows = wanted.select(self.bucket(F.col(keys.columns[0])).alias("b")).distinct().collect()
-        return Scope(wanted, None if len(rows) > self.buckets // 2 else tuple(sorted(r["b"] for r in rows)))
+        """Restriction to the values of a one-column frame; one number per bucket comes to the driver."""
+        wanted = keys.dropna().distinct()
+        rows = wanted.groupBy(self.bucket(F.col(keys.columns[0])).alias("bucket")).count().collect()
+        found = tuple(sorted(r["bucket"] for r in rows))
+        return Scope(wanted, sum(r["count"] for r in rows), None if len(found) > self.buckets // 2 else found)
 
     def _current(
         self, table: KeyedTable, prune: Column | None = None,
@@ -200,7 +203,8 @@ class Lake:
             rows = self._current(table)
         else:
             rows = self._current(
-                table, within.prune(), lambda df: df.join(within.keys, table.cluster_by, "left_semi")
+                table, within.prune(),
+                lambda df: restrict_to_keys(df, within.keys, table.cluster_by, within.count, table.keys),
             )
         return self._live(table, rows).select(*table.schema.fieldNames())
 

@@ -10,7 +10,7 @@ from the checkpoint.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,13 +25,15 @@ from patronage.operators import segments as S
 from patronage.operators import serving as V
 from patronage.operators.curate import curate_activations, curate_customers, curate_orders
 from patronage.operators.decode import decode_payload, flatten_payload, split_valid
-from patronage.operators.keyed import fold_serving_batch, latest_by_offset, monotone_merge
+from patronage.operators.keyed import fold_serving_batch, monotone_merge, newest_value
 from patronage.operators.normalise import SERVING_COLUMNS, normalise_rows
+from patronage.operators.skew import hot_keys, spread_join
 from patronage.sources import fs
 from patronage.sources.events import RECORD, read_events
 from patronage.sources.lake import TABLES, Lake, Scope
 
 Batch = Callable[[DataFrame, int], None]
+KNOWN_BEFORE = -1  # sequence number given to stored profiles: before every event of a batch
 SILVER = {"customers": (PROFILE, curate_customers), "orders": (ORDER, curate_orders), "activations": (ACTIVATION, curate_activations)}
 
 
@@ -206,7 +208,8 @@ class Pipeline:
         def merge(batch: DataFrame, batch_id: int) -> None:
             within = self.lake.scope(batch.select(F.col("key").alias("customer_id")))
             current = self.lake.read_or_empty("serving", "customers", within)
-            self._upsert(serving_batch(current, batch), batch_id, "serving", "customers")
+            merged = serving_batch(current, batch, hot_keys(batch, "key"))
+            self._upsert(merged, batch_id, "serving", "customers")
 
         return self.each_batch(messages, "serving_customers", merge)
 
@@ -221,12 +224,15 @@ class Pipeline:
         def enrich(batch: DataFrame, batch_id: int) -> None:
             known = self.lake.read_or_empty("live", "profile", self.lake.scope(batch.select("customer_id")))
             profiles = batch.where("kind = 'profile'").select("source_seq", "customer_id", *PROFILE_COLUMNS)
-            versions = known.withColumn("source_seq", F.lit(-1).cast("bigint")).unionByName(profiles)
+            versions = known.withColumn("source_seq", F.lit(KNOWN_BEFORE).cast("bigint")).unionByName(profiles)
             orders = batch.where("kind = 'order'")
             # orders first: if the run dies in between, the replay skips them and still sees the old profiles
             self._upsert(J.enrich_orders_asof(orders, versions), batch_id, "live", "enriched_orders")
-            touched = versions.join(profiles.select("customer_id").distinct(), "customer_id", "left_semi")
-            self._upsert(latest_by_offset(touched, "customer_id", PROFILE_COLUMNS), batch_id, "live", "profile")
+            state = versions.groupBy("customer_id").agg(
+                *[newest_value(c, "source_seq").alias(c) for c in PROFILE_COLUMNS], F.max("source_seq").alias("_newest")
+            )
+            changed = state.where(F.col("_newest") > KNOWN_BEFORE)
+            self._upsert(changed, batch_id, "live", "profile")
 
         return self.each_batch(merged, "live_orders", enrich)
 
@@ -264,13 +270,14 @@ class Pipeline:
         return self.upsert_stream(events, "live", "segments")
 
 
-def serving_batch(current: DataFrame, batch: DataFrame) -> DataFrame:
+def serving_batch(current: DataFrame, batch: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
     """Rows to write for a batch of (key, value, source_seq) messages: deletes take effect where they stand in
     the order of messages, updates after them start from an empty row."""
     cut = batch.where(F.col("value").isNull()).groupBy(F.col("key").alias("customer_id")).agg(F.max("source_seq").alias("_cut"))
     rows = normalise_rows(batch.select("key", "value", "source_seq")).drop("last_order_at")
     rows = rows.where(F.coalesce(F.col("customer_id"), F.lit("")) != "")
-    live = rows.join(cut, "customer_id", "left").where(F.col("_cut").isNull() | (F.col("source_seq") > F.col("_cut"))).drop("_cut")
+    live = spread_join(rows, cut, "customer_id", "left", hot, spread_on="source_seq")
+    live = live.where(F.col("_cut").isNull() | (F.col("source_seq") > F.col("_cut"))).drop("_cut")
     folded = fold_serving_batch(live)
     kept = current.drop("removed").join(cut, "customer_id", "left_anti").join(folded.select("customer_id"), "customer_id", "left_semi")
     merged = monotone_merge(kept.select(*SERVING_COLUMNS), folded)

@@ -125,3 +125,15 @@ def test_merged_streams_give_the_same_c360_as_joins(spark, rows_of):
     acts = spark.createDataFrame([("a", 5, "delivered", 1), ("a", 6, "failed", None)], "customer_id string, source_seq bigint, status string, delivered_at bigint")
     row = J.conditional_c360(J.merge_streams(profile=profiles, order=orders, activation=acts)).first()
     assert row[:] == ("a", "e", "g", None, "t", False, 3.75, 2, 9, 1, 1)
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_restricting_to_keys(spark, rows_of, limit):
+    from patronage.operators.skew import restrict_to_keys
+
+    df = spark.createDataFrame([("hot", i) for i in range(60)] + [("a", 1), ("b", 2), (None, 3)], "k string, n int")
+    keys = spark.createDataFrame([("hot",), ("a",), ("z",)], "k string")
+    kept = restrict_to_keys(df, keys, "k", 3, ["n"], limit=limit)
+    assert rows_of(kept) == rows_of(df.where("k IN ('hot', 'a')"))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert ("_salt" in plan) == (limit < 3)
