@@ -199,6 +199,37 @@ def src_optional_activations(spark: SparkSession, sf: str) -> DataFrame:
     return V.with_last_order_ts(rows)
 
 
+_STAGE_NOW = B._stage_sql("s.order_count", "s.lifetime_value", "COALESCE(a.delivered_messages, 0)", "COALESCE(a.failed_messages, 0)")
+
+
+def run_serving_events(spark: SparkSession, sf: str, name: str) -> Pipeline:
+    p = new_pipeline(spark, name)
+    arrive_and_run(p, sf, [ORDER, ACTIVATION], [[lambda: p.run_serving(with_events=True)]], B.STAGE_SCALE)
+    return p
+
+
+@query("serving_events_stream", given("order_summary", "activation_summary", scale=B.STAGE_SCALE) + f"""
+SELECT COALESCE(s.customer_id, a.customer_id) AS customer_id, COALESCE(s.order_count, 0) AS order_count,
+       COALESCE(s.lifetime_value, 0.0) AS lifetime_value, s.last_order_ts, COALESCE(a.delivered_messages, 0) AS delivered_messages,
+       COALESCE(a.failed_messages, 0) AS failed_messages, a.last_engagement_ts,
+       CASE WHEN s.customer_id IS NULL THEN 'prospect' ELSE {_STAGE_NOW} END AS lifecycle_stage,
+       CASE WHEN s.customer_id IS NOT NULL THEN TRUE END AS is_active
+FROM order_summary s FULL OUTER JOIN activation_summary a ON s.customer_id = a.customer_id""")
+def serving_events_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Serving rows kept up to date from the events alone, before any gold message arrives."""
+    p = run_serving_events(spark, sf, "serving_events")
+    return p.lake.read("serving", "customers").drop("first_name", "last_name", "email", "removed")
+
+
+@query("stage_transitions_stream", given("order_summary", "activation_summary", scale=B.STAGE_SCALE) + f"""
+SELECT s.customer_id, {_STAGE_NOW} AS lifecycle_stage, TRUE AS is_active
+FROM order_summary s LEFT JOIN activation_summary a ON s.customer_id = a.customer_id""")
+def stage_transitions_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The last stage event of each customer; everybody starts as a prospect."""
+    p = run_serving_events(spark, sf, "stages")
+    return p.lake.read("live", "stage_events").select("customer_id", "lifecycle_stage", "is_active")
+
+
 # -- live path --------------------------------------------------------------------------------------------------
 
 

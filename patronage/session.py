@@ -12,10 +12,9 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # keyed streaming aggregates hold one row per customer: keep them off the JVM heap
-    "spark.sql.streaming.stateStore.providerClass":
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(app: str = "patronage", master: str | None = None, **conf: str) -> SparkSession:
@@ -27,6 +26,14 @@ def build_session(app: str = "patronage", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def prefer_rocksdb(spark: SparkSession) -> None:
+    """Keyed streaming aggregates hold one row per customer: unless the session chose a state store of its own, keep
+    them off the JVM heap and upload changes, not snapshots, with each batch."""
+    if spark.conf.get(_PROVIDER).endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(_PROVIDER, _ROCKSDB)
+        spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder; a temporary one only where the session names none (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

@@ -28,9 +28,11 @@ from patronage.operators.decode import decode_payload, flatten_payload, split_va
 from patronage.operators.keyed import fold_serving_batch, monotone_merge, newest_value
 from patronage.operators.normalise import SERVING_COLUMNS, normalise_rows
 from patronage.operators.skew import hot_keys, spread_join
+from patronage.session import prefer_rocksdb
 from patronage.sources import fs
 from patronage.sources.events import RECORD, read_events
-from patronage.sources.lake import TABLES, Lake, Scope
+from patronage.sources.lake import Lake, Scope
+from patronage.sources.layout import TABLES
 
 Batch = Callable[[DataFrame, int], None]
 KNOWN_BEFORE = -1  # sequence number given to stored profiles: before every event of a batch
@@ -60,6 +62,7 @@ class Pipeline:
     compact_every: int = 16
 
     def __post_init__(self) -> None:
+        prefer_rocksdb(self.spark)
         self.lake = Lake(self.spark, f"{self.root}/lake", self.buckets)
 
     # -- plumbing -------------------------------------------------------------------------------------------
@@ -201,17 +204,37 @@ class Pipeline:
 
     # -- serving --------------------------------------------------------------------------------------------
 
-    def run_serving(self, source: str | None = None) -> StreamingQuery:
+    def run_serving(self, source: str | None = None, with_events: bool = False) -> StreamingQuery:
+        """Serving rows from the published messages. `with_events` also folds in order and message events as they
+        arrive, ahead of the lake path, and writes a stage event for every customer whose stage that changes."""
         path = source or fs.make_dir(self.spark, self.published_path("c360"))
-        messages = read_events(self.spark, path, "json", schema=RECORD)
+        messages = read_events(self.spark, path, "json", schema=RECORD).drop("timestamp")
+        streams = {"message": messages.withColumn("customer_id", F.col("key"))}
+        if with_events:
+            streams["order"] = self.events(ORDER).select("source_seq", "customer_id", "order_total", "placed_at")
+            streams["activation"] = self.events(ACTIVATION).select("source_seq", "customer_id", "status", "delivered_at")
 
         def merge(batch: DataFrame, batch_id: int) -> None:
-            within = self.lake.scope(batch.select(F.col("key").alias("customer_id")))
-            current = self.lake.read_or_empty("serving", "customers", within)
-            merged = serving_batch(current, batch, hot_keys(batch, "key"))
-            self._upsert(merged, batch_id, "serving", "customers")
-
-        return self.each_batch(messages, "serving_customers", merge)
+            within = self.lake.scope(batch.select("customer_id"))
+            current = self.lake.read_or_empty("serving", "customers", within).drop("removed")
+            if with_events:
+                before, orders = current, batch.where("kind = 'order'")
+                current = M.apply_engagements(M.apply_orders(before, orders), batch.where("kind = 'activation'"))
+                # before the rows: a replay after a crash in between still finds the stage the customer had
+                self._upsert(S.stage_transitions(before, current), batch_id, "live", "stage_events")
+            sent = batch.where("kind = 'message'")
+            rows = serving_batch(current, sent, hot_keys(sent, "key"))
+            if with_events:
+                others = current.join(rows.select("customer_id"), "customer_id", "left_anti")
+                rows = rows.unionByName(others.withColumn("removed", F.lit(False)))
+            self._upsert(rows, batch_id, "serving", "customers")
+
+        return self.each_batch(J.merge_streams(**streams), "serving_customers", merge)
+
+    def run_publish_stages(self, topic: str | None = None) -> StreamingQuery:
+        """Stage events as profile messages."""
+        rows = self.lake.read_changes("live", "stage_events")
+        return self.publish(self._message_stream(rows, tuple(PROFILE.schema.fieldNames())), "stages", topic=topic)
 
     # -- live path ------------------------------------------------------------------------------------------
 
@@ -279,7 +302,7 @@ def serving_batch(current: DataFrame, batch: DataFrame, hot: Sequence[str] = ())
     live = spread_join(rows, cut, "customer_id", "left", hot, spread_on="source_seq")
     live = live.where(F.col("_cut").isNull() | (F.col("source_seq") > F.col("_cut"))).drop("_cut")
     folded = fold_serving_batch(live)
-    kept = current.drop("removed").join(cut, "customer_id", "left_anti").join(folded.select("customer_id"), "customer_id", "left_semi")
+    kept = current.join(cut, "customer_id", "left_anti").join(folded.select("customer_id"), "customer_id", "left_semi")
     merged = monotone_merge(kept.select(*SERVING_COLUMNS), folded)
     gone = cut.join(folded, "customer_id", "left_anti").select("customer_id", F.lit(True).alias("removed"))
     return merged.withColumn("removed", F.lit(False)).unionByName(gone, allowMissingColumns=True).select(

@@ -206,3 +206,20 @@ def test_kafka_source_names_the_missing_connector(spark):
 
     with pytest.raises(Exception, match="(?i)kafka"):
         read_events(spark, "topic", "kafka", options={"kafka.bootstrap.servers": "nowhere:1"})
+
+
+def test_serving_rows_follow_events_before_the_lake_does(pipe, rows_of):
+    feed(pipe, ORDER)
+    feed(pipe, ACTIVATION)
+    messages = f"{pipe.root}/messages"
+    drop(messages, 0, PROFILE, [(1, {"customer_id": "a", "email": "a@1", "order_count": 99})])
+    pipe.finish(pipe.run_serving(messages, with_events=True))
+    pipe.finish(pipe.run_serving(messages, with_events=True))
+    got = {r.customer_id: r for r in pipe.lake.read("serving", "customers").collect()}
+    assert (got["a"].lifetime_value, got["a"].delivered_messages, got["a"].failed_messages, got["a"].email, got["a"].is_active) == (15.6, 1, 2, "a@1", True)
+    assert got["a"].order_count >= 99
+    assert (got["b"].order_count, got["b"].lifecycle_stage, got["ghost"].lifecycle_stage) == (2, "engaged", "customer")
+    stages = rows_of(pipe.lake.read("live", "stage_events"), "customer_id", "lifecycle_stage")
+    assert [s for s in stages if s[0] != "a"] == [("b", "engaged"), ("ghost", "customer")]
+    pipe.finish(pipe.run_publish_stages())
+    assert pipe.spark.read.json(pipe.published_path("stages")).select("key").distinct().count() == 3
