@@ -52,10 +52,15 @@ def fold_serving_batch(incoming: DataFrame, key: str = "customer_id", seq: str |
     )
 
 
+def merge_column(name: str, old: Column, new: Column) -> Column:
+    """Counters and instants never go back; anything else takes the new value unless it is null."""
+    return (F.greatest(old, new) if name in SERVING_MAX else F.coalesce(new, old)).alias(name)
+
+
 def monotone_merge(
     current: DataFrame, incoming: DataFrame, key: str = "customer_id", seq: str | None = None
 ) -> DataFrame:
-    """Serving merge: counters and instants never go back, other columns take the new value unless it is null.
+    """Serving merge of whole relations, column by column.
 
     `incoming` has one row per key, or several when `seq` names the column that orders them.
     """
@@ -66,8 +71,7 @@ def monotone_merge(
         before, after = F.col(f"old.{name}"), F.col(f"new.{name}")
         if name not in folded.columns:
             return before.alias(name)
-        pick = F.greatest(before, after) if name in SERVING_MAX else F.coalesce(after, before)
-        return pick.alias(name)
+        return merge_column(name, before, after)
 
     joined = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
     return joined.select(*[merged(c) for c in current.columns])

@@ -108,19 +108,28 @@ def silver_upsert_stream(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("created_at", F.unix_millis("created_at"))
 
 
-def run_gold(spark: SparkSession, sf: str, name: str, *more: Callable[[Pipeline], StreamingQuery], scale: int = 1) -> Pipeline:
-    p = new_pipeline(spark, name)
-    stages = [_to_bronze(p), _to_silver(p), [p.run_gold], *[[lambda m=m: m(p)] for m in more]]
-    arrive_and_run(p, sf, ALL, stages, scale)
-    return p
-
-
 @query("gold_c360_stream", B.C360_SQL)
 def gold_c360_stream(spark: SparkSession, sf: str) -> DataFrame:
-    p = run_gold(spark, sf, "gold")
+    """The whole lake path, topics to gold."""
+    p = new_pipeline(spark, "gold")
+    arrive_and_run(p, sf, ALL, [_to_bronze(p), _to_silver(p), [p.run_gold]])
     return V.with_last_order_ts(p.lake.read("gold", "c360").drop("updated_at"))
 
 
+def after_each_gold_batch(
+    spark: SparkSession, sf: str, name: str, steps: Sequence[Callable[[Pipeline], StreamingQuery]], scale: int = 1
+) -> Pipeline:
+    """Gold written twice, before and after the messages arrived, with the steps run after each write."""
+    p = new_pipeline(spark, name)
+    customers, orders = B.silver_customers_of(spark, sf), B.silver_orders_of(spark, sf, scale)
+    for number, activations in enumerate((None, I.activation_events(spark, sf))):
+        rows = J.build_c360(customers, orders, activations, unique_orders=True)
+        p.lake.upsert_batch(rows.withColumn("updated_at", F.current_timestamp()), number, "gold", "c360")
+        for step in steps:
+            p.finish(step(p))
+    return p
+
+
 def _newest_messages(p: Pipeline, name: str) -> DataFrame:
     sent = p.spark.read.schema("key string, value string, source_seq bigint").json(p.published_path(name))
     return sent.groupBy("key").agg(F.max_by("value", "source_seq").alias("value"))
@@ -129,7 +138,7 @@ def _newest_messages(p: Pipeline, name: str) -> DataFrame:
 @query("publish_c360_stream", f"SELECT customer_id AS key, * FROM ({B.C360_SQL})")
 def publish_c360_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The last message sent for each customer."""
-    p = run_gold(spark, sf, "publish", Pipeline.run_publish_c360)
+    p = after_each_gold_batch(spark, sf, "publish", [Pipeline.run_publish_c360])
     return B.read_messages(_newest_messages(p, "c360"), B.MESSAGE_SCHEMA)
 
 
@@ -138,26 +147,18 @@ FROM (SELECT s.customer_id, p.email, p.lifecycle_stage, s.lifetime_value, s.orde
       FROM consolidated s LEFT JOIN (SELECT * FROM profile_events QUALIFY
       ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY source_seq DESC) = 1) p ON s.customer_id = p.customer_id)"""))
 def publish_propensity_stream(spark: SparkSession, sf: str) -> DataFrame:
-    p = run_gold(spark, sf, "propensity", Pipeline.run_publish_propensity, scale=B.SCORE_SCALE)
+    p = after_each_gold_batch(spark, sf, "propensity", [Pipeline.run_publish_propensity], B.SCORE_SCALE)
     schema = "customer_id string, email string, lifecycle_stage string, propensity double"
     return B.read_messages(_newest_messages(p, "propensity"), schema).drop("key")
 
 
-@query("serving_stream", given("consolidated", "silver_customers") + """
-SELECT s.customer_id, s.order_count, s.lifetime_value, s.last_order_ts, NULLIF(c.last_name, '') AS last_name, c.is_active,
-       s.delivered_messages, s.failed_messages
-FROM consolidated s LEFT JOIN (
-  SELECT customer_id, arg_max(last_name, source_seq) FILTER (WHERE last_name IS NOT NULL) AS last_name,
-         arg_max(is_active, source_seq) AS is_active
-  FROM silver_customers GROUP BY customer_id) c ON s.customer_id = c.customer_id""")
+@query("serving_stream", f"""SELECT *, CAST(NULL AS BIGINT) AS last_engagement_ts FROM (
+SELECT customer_id, order_count, lifetime_value, last_order_ts, NULLIF(first_name, '') AS first_name, last_name, email,
+       lifecycle_stage, is_active, delivered_messages, failed_messages FROM ({B.C360_SQL}))""")
 def serving_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """Serving rows after reading the published messages; profile columns that went missing later keep the value
-    of the message that had them, so only columns without that history are compared here."""
-    p = run_gold(spark, sf, "serving", Pipeline.run_publish_c360, Pipeline.run_serving)
-    return p.lake.read("serving", "customers").select(
-        "customer_id", "order_count", "lifetime_value", "last_order_ts", "last_name", "is_active",
-        "delivered_messages", "failed_messages",
-    )
+    """Serving rows merged from the published messages."""
+    p = after_each_gold_batch(spark, sf, "serving", [Pipeline.run_publish_c360, Pipeline.run_serving])
+    return p.lake.read("serving", "customers").drop("removed")
 
 
 @query("src_lake_snapshot", given("silver_customers") + f"SELECT {B._PROFILE_LIST} FROM silver_customers")

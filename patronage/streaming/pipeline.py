@@ -25,14 +25,13 @@ from patronage.operators import segments as S
 from patronage.operators import serving as V
 from patronage.operators.curate import curate_activations, curate_customers, curate_orders
 from patronage.operators.decode import decode_payload, flatten_payload, split_valid
-from patronage.operators.keyed import fold_serving_batch, monotone_merge, newest_value
+from patronage.operators.keyed import fold_serving_batch, merge_column, newest_value
 from patronage.operators.normalise import SERVING_COLUMNS, normalise_rows
 from patronage.operators.skew import hot_keys, spread_join
 from patronage.session import prefer_rocksdb
 from patronage.sources import fs
 from patronage.sources.events import RECORD, read_events
 from patronage.sources.lake import Lake, Scope
-from patronage.sources.layout import TABLES
 
 Batch = Callable[[DataFrame, int], None]
 KNOWN_BEFORE = -1  # sequence number given to stored profiles: before every event of a batch
@@ -301,10 +300,14 @@ def serving_batch(current: DataFrame, batch: DataFrame, hot: Sequence[str] = ())
     rows = rows.where(F.coalesce(F.col("customer_id"), F.lit("")) != "")
     live = spread_join(rows, cut, "customer_id", "left", hot, spread_on="source_seq")
     live = live.where(F.col("_cut").isNull() | (F.col("source_seq") > F.col("_cut"))).drop("_cut")
-    folded = fold_serving_batch(live)
-    kept = current.join(cut, "customer_id", "left_anti").join(folded.select("customer_id"), "customer_id", "left_semi")
-    merged = monotone_merge(kept.select(*SERVING_COLUMNS), folded)
-    gone = cut.join(folded, "customer_id", "left_anti").select("customer_id", F.lit(True).alias("removed"))
-    return merged.withColumn("removed", F.lit(False)).unionByName(gone, allowMissingColumns=True).select(
-        *TABLES["serving", "customers"].schema.fieldNames()
+    # one row per touched key: what is left of its updates, its last delete, and the stored row
+    joined = (
+        fold_serving_batch(live).withColumn("_updated", F.lit(True)).alias("new")
+        .join(cut.alias("cut"), "customer_id", "full_outer")
+        .join(current.alias("old"), "customer_id", "left")
     )
+    kept = F.col("_cut").isNull()
+    columns = [
+        merge_column(c, F.when(kept, F.col(f"old.{c}")), F.col(f"new.{c}")) for c in SERVING_COLUMNS if c != "customer_id"
+    ]
+    return joined.select("customer_id", *columns, F.col("_updated").isNull().alias("removed"))
