@@ -12,8 +12,7 @@ def spark():
 
     session = build_session(
         "tests", "local[8]",
-        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
-           "spark.python.sql.dataFrameDebugging.enabled": "false"},
+        **{"spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     return session
