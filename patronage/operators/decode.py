@@ -44,13 +44,12 @@ def decode_payload(df: DataFrame, spec: Contract, encoding: str = "json", avsc:
     if encoding == "framed_avro":
         from pyspark.sql.avro.functions import from_avro
 
-        payload = from_avro(body, _avro_reader(spec, avsc), {"mode": "PERMISSIVE"})
-        unreadable = F.when(body.isNotNull() & payload.isNull(), F.hex(body))
-        fields = payload
+        parsed = from_avro(body, _avro_reader(spec, avsc), {"mode": "PERMISSIVE"})
+        unreadable = F.when(F.col("value").isNotNull() & F.col("_fields").isNull(), F.hex(body))
     elif encoding in ("json", "framed_json"):
         schema = T.StructType([*spec.schema.fields, T.StructField(_CORRUPT, T.StringType())])
-        fields = F.from_json(body.cast("string"), schema, {"columnNameOfCorruptRecord": _CORRUPT})
-        unreadable = fields[_CORRUPT]
+        parsed = F.from_json(body.cast("string"), schema, {"columnNameOfCorruptRecord": _CORRUPT})
+        unreadable = F.col("_fields")[_CORRUPT]
     else:
         raise ValueError(f"unknown encoding {encoding!r}")
 
@@ -59,9 +58,10 @@ def decode_payload(df: DataFrame, spec: Contract, encoding: str = "json", avsc:
         return F.coalesce(value, F.lit(spec.defaults[name])) if name in spec.defaults else value
 
     columns = [read(f.name).cast(f.dataType).alias(f.name) for f in spec.schema.fields]
+    # as the output of a generator the value is parsed once; filters on its fields are not pushed below the parser,
+    # where each of them would parse it again
     return (
-        df.withColumn("message_key", F.col("key").cast("string"))
-        .withColumn("_fields", fields)
+        df.select("*", F.col("key").cast("string").alias("message_key"), F.explode(F.array(parsed)).alias("_fields"))
         .withColumn(_CORRUPT, unreadable)
         .withColumn("payload", F.when(F.col("value").isNotNull(), F.struct(*columns)))
         .drop("_fields", "key")
