@@ -47,7 +47,9 @@ def bronze_schema(spec: Contract) -> T.StructType:
 
 @dataclass
 class Pipeline:
-    """`topics` maps contract names to a path or topic; `options` go to the event source."""
+    """`topics` maps contract names to a path or topic; `options` go to the event source and `hop_options` to the file
+    streams between the hops. Set their rate limits (`maxOffsetsPerTrigger`, `maxBytesPerTrigger`, `maxFilesPerTrigger`)
+    so that a backlog is taken in batches the cluster can hold."""
 
     spark: SparkSession
     root: str
@@ -56,6 +58,7 @@ class Pipeline:
     record: T.StructType = field(default_factory=lambda: RECORD)
     encoding: str = "json"
     options: dict[str, str] = field(default_factory=dict)
+    hop_options: dict[str, str] = field(default_factory=dict)
     trigger: dict[str, object] = field(default_factory=lambda: {"availableNow": True})
     buckets: int = 64
     compact_every: int = 16
@@ -110,6 +113,9 @@ class Pipeline:
         for query in queries:
             query.awaitTermination()
 
+    def _changes(self, layer: str, name: str) -> DataFrame:
+        return self.lake.read_changes(layer, name, **self.hop_options)
+
     # -- events ---------------------------------------------------------------------------------------------
 
     def decoded(self, spec: Contract) -> DataFrame:
@@ -136,7 +142,7 @@ class Pipeline:
     def run_silver(self, name: str) -> StreamingQuery:
         spec, curate = SILVER[name]
         source = fs.make_dir(self.spark, self.bronze_path(spec))
-        bronze = self.spark.readStream.schema(bronze_schema(spec)).parquet(source)
+        bronze = self.spark.readStream.schema(bronze_schema(spec)).options(**self.hop_options).parquet(source)
         return self.upsert_stream(curate(bronze), "silver", name)
 
     def run_gold(self, follow_moves: bool = True) -> StreamingQuery:
@@ -146,9 +152,9 @@ class Pipeline:
         one; it scans two columns of the change history and can be switched off where that cannot happen.
         """
         changed = J.merge_streams(
-            customers=self.lake.read_changes("silver", "customers").select("customer_id"),
-            orders=self.lake.read_changes("silver", "orders").select("customer_id", "order_id"),
-            activations=self.lake.read_changes("silver", "activations").select("customer_id", "activation_id"),
+            customers=self._changes("silver", "customers").select("customer_id"),
+            orders=self._changes("silver", "orders").select("customer_id", "order_id"),
+            activations=self._changes("silver", "activations").select("customer_id", "activation_id"),
         )
 
         def refresh(batch: DataFrame, batch_id: int) -> None:
@@ -190,11 +196,11 @@ class Pipeline:
         )
 
     def run_publish_c360(self, topic: str | None = None) -> StreamingQuery:
-        rows = V.with_last_order_ts(self.lake.read_changes("gold", "c360"))
+        rows = V.with_last_order_ts(self._changes("gold", "c360"))
         return self.publish(self._message_stream(rows, V.C360_MESSAGE), "c360", topic=topic)
 
     def run_publish_propensity(self, topic: str | None = None) -> StreamingQuery:
-        gold = self.lake.read_changes("gold", "c360")
+        gold = self._changes("gold", "c360")
         scored = gold.select(
             "customer_id", "email", "lifecycle_stage", S.propensity_column().alias("propensity"), "batch",
             F.current_timestamp().alias("scored_at"),
@@ -207,7 +213,7 @@ class Pipeline:
         """Serving rows from the published messages. `with_events` also folds in order and message events as they
         arrive, ahead of the lake path, and writes a stage event for every customer whose stage that changes."""
         path = source or fs.make_dir(self.spark, self.published_path("c360"))
-        messages = read_events(self.spark, path, "json", schema=RECORD).drop("timestamp")
+        messages = read_events(self.spark, path, "json", schema=RECORD, options=self.hop_options).drop("timestamp")
         streams = {"message": messages.withColumn("customer_id", F.col("key"))}
         if with_events:
             streams["order"] = self.events(ORDER).select("source_seq", "customer_id", "order_total", "placed_at")
@@ -232,7 +238,7 @@ class Pipeline:
 
     def run_publish_stages(self, topic: str | None = None) -> StreamingQuery:
         """Stage events as profile messages."""
-        rows = self.lake.read_changes("live", "stage_events")
+        rows = self._changes("live", "stage_events")
         return self.publish(self._message_stream(rows, tuple(PROFILE.schema.fieldNames())), "stages", topic=topic)
 
     # -- live path ------------------------------------------------------------------------------------------
@@ -274,7 +280,7 @@ class Pipeline:
         return self.upsert_stream(J.conditional_c360(merged), "live", "c360", "update")
 
     def _changed_customers(self, *names: str) -> DataFrame:
-        return J.merge_streams(**{n: self.lake.read_changes("live", n).select("customer_id") for n in names})
+        return J.merge_streams(**{n: self._changes("live", n).select("customer_id") for n in names})
 
     def run_live_segment_source(self) -> StreamingQuery:
         """A change on either side of the join emits the customer again."""
@@ -288,7 +294,7 @@ class Pipeline:
 
     def run_live_segments(self, now: Column | None = None) -> StreamingQuery:
         """Segment events from the change stream of the segment source."""
-        events = S.materialise_segments(self.lake.read_changes("live", "segment_source"), now)
+        events = S.materialise_segments(self._changes("live", "segment_source"), now)
         return self.upsert_stream(events, "live", "segments")
 
 

@@ -49,7 +49,8 @@ def pipe(spark, root):
     topics = {s.name: f"{root}/topics/{s.name}" for s in EVENTS}
     for path in topics.values():
         os.makedirs(path)
-    return Pipeline(spark, f"{root}/work", topics, options={"maxFilesPerTrigger": "1"}, buckets=4, compact_every=3)
+    return Pipeline(spark, f"{root}/work", topics, options={"maxFilesPerTrigger": "1"},
+                    hop_options={"maxFilesPerTrigger": "4"}, buckets=4, compact_every=3)
 
 
 def feed(pipe, spec, files=3):
