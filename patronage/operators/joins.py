@@ -8,11 +8,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from patronage.functions.money import exact_sum
 from patronage.functions.profile import has_profile
 from patronage.operators.keyed import newest_value
 from patronage.operators.metrics import activation_metrics, delivered_count, failed_count, order_metrics
-from patronage.functions.money import exact_sum
-from patronage.operators.skew import hot_keys, segment_bounds, segment_of, spread_join
+from patronage.operators.skew import hot_keys, segment_bounds, segment_of, shuffle_width, spread_join
 
 _FIRST = -(2**63)  # sorts before every real sequence number
 _PROFILE, _ORDER = 0, 1  # at one instant the profile is known before the order
@@ -45,13 +45,14 @@ def _carried(events: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def asof_fill(
     facts: DataFrame, versions: DataFrame, cols: Sequence[str], seq: str = "source_seq",
-    hot: Sequence[str] | None = None, segments: int = 256,
+    hot: Sequence[str] | None = None, segments: int | None = None,
 ) -> DataFrame:
     """Give each fact the newest non-null value of `cols` among the customer's versions at or before it.
 
     One shuffle on the customer, with no join: both inputs are stacked and the columns carried forward in
-    order. A customer holding many rows is cut along `seq` into segments of even size, each its own group; the
-    state at a segment's start comes from a pre-aggregated pass over that customer's versions.
+    order. A customer holding many rows is cut along `seq` into segments of even size (two per shuffle task, 256 at
+    most), each its own group; the state at a segment's start comes from a pre-aggregated pass over that customer's
+    versions.
     """
     own = [c for c in facts.columns if c not in ("customer_id", seq)]
     stacked = facts.select(
@@ -64,7 +65,7 @@ def asof_fill(
         hot = hot_keys(stacked, "customer_id")
     group = ["customer_id"]
     if hot:
-        cuts = segment_bounds(stacked, "customer_id", "_seq", hot, segments)
+        cuts = segment_bounds(stacked, "customer_id", "_seq", hot, segments or min(2 * shuffle_width(stacked), 256))
         is_hot = F.col("customer_id").isin(list(hot))
         stacked = stacked.withColumn("_segment", F.when(is_hot, segment_of(F.col("_seq"), cuts)).otherwise(F.lit(0)))
         stacked = stacked.unionByName(_carried(stacked.where(is_hot), cols), allowMissingColumns=True)
@@ -78,7 +79,7 @@ def asof_fill(
 
 def enrich_orders_asof(
     orders: DataFrame, profile_events: DataFrame, seq: str = "source_seq", hot: Sequence[str] | None = None,
-    segments: int = 256,
+    segments: int | None = None,
 ) -> DataFrame:
     """Order with the profile as known when the order arrived; later profile changes do not revise it."""
     facts = orders.select(seq, "order_id", "customer_id", "order_total", "channel", "placed_at")

@@ -39,9 +39,11 @@ def upsert(current: DataFrame, batch: DataFrame, keys: Sequence[str], order_by:
     small enough to be broadcast leaves them unshuffled.
     """
     newest = batch.dropna(subset=list(keys))
+    replaced = newest.select(*keys)
     if order_by:
-        newest = latest_row(newest, keys, order_by)
-    return current.join(newest.select(*keys), list(keys), "left_anti").unionByName(newest.select(*current.columns))
+        # the key set needs no ranking: duplicates fall away in the map-side part of the distinct
+        newest, replaced = latest_row(newest, keys, order_by), replaced.distinct()
+    return current.join(replaced, list(keys), "left_anti").unionByName(newest.select(*current.columns))
 
 
 def fold_serving_batch(incoming: DataFrame, key: str = "customer_id", seq: str | None = "source_seq") -> DataFrame:
