@@ -26,7 +26,9 @@ TRAINING_DOCUMENTS = 20_000
 #: The least cosine to the best prototype at which the pipeline takes a document to be in a known language.
 LEAST_COSINE = 0.12
 UNKNOWN = "und"
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
+#: n-grams bound at a time: a bounded part of a slice's.
+GRAMS = 2048
 
 _letters: dict[str, np.ndarray] = {}
 
@@ -80,9 +82,9 @@ def text_vectors(texts: list[str], dimensions: int = DIMENSIONS) -> tuple[np.nda
     vectors = np.zeros((len(texts), dimensions), np.float32)
     letter = np.stack([letter_vector(int(c), dimensions) for c in present])
     second, third = np.roll(letter, 1, axis=1), np.roll(letter, 2, axis=1)
-    for first in range(0, len(grams), 8192):  # a bounded part of the n-grams at a time
-        part = grams[first : first + 8192]
-        own = (column >= first) & (column < first + len(part)) if len(grams) > 8192 else slice(None)
+    for first in range(0, len(grams), GRAMS):
+        part = grams[first : first + GRAMS]
+        own = (column >= first) & (column < first + len(part)) if len(grams) > GRAMS else slice(None)
         bound = third[part // size // size] * second[part // size % size] * letter[part % size]
         counts = np.bincount(owner[own].astype(np.int64) * len(part) + column[own] - first, minlength=len(texts) * len(part))
         vectors += counts.reshape(len(texts), len(part)).astype(np.float32) @ bound
