@@ -72,19 +72,16 @@ def ranked(frame: DataFrame, key: str, order: list[str], into: str, bucket: Colu
 
 
 _shipped: set[str] = set()
-#: Rows and bytes of an Arrow batch, where the session has Spark's default: texts are long, and both sides hold batches.
+#: Rows and bytes of an Arrow batch, where the session has Spark's default of rows: texts are long, and both sides hold batches.
 BATCH_ROWS, BATCH_BYTES = 2_000, "4m"
 
 
 def map_arrow(frame: DataFrame, function, schema: str) -> DataFrame:
     """mapInArrow, with this package shipped to the executors once per application, and batches kept small."""
     spark = frame.sparkSession
-    for name, default, ours in (
-        ("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000, BATCH_ROWS),
-        ("spark.sql.execution.arrow.maxBytesPerBatch", None, BATCH_BYTES),
-    ):
-        if spark.conf.get(name, str(default)) in (str(default), "64MB", "67108864", "268435456"):
-            spark.conf.set(name, ours)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(patronage.__file__).parent

@@ -98,13 +98,20 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds:
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[Run]:
+    """The fewest sequences that linear grouping gives with `groups` groups, three times as many, or none (best fit
+    alone): rounding up costs least with many groups, configurations pay most with few."""
+    plans = [grouped_plan(counts, capacity, g) for g in (groups, 3 * groups, 0)]
+    return min(plans, key=lambda runs: sum(run.count for run in runs))
+
+
+def grouped_plan(counts: dict[int, int], capacity: int, groups: int) -> list[Run]:
     """Runs that hold every piece: counts[length] pieces of each length, with ranks from 0."""
     next_rank: dict[int, int] = defaultdict(int)
     left = {size: n for size, n in counts.items() if n > 0}
     if any(not 0 < size <= capacity for size in left):
         raise ValueError("a piece is longer than a sequence")
     done = [Run(left.pop(capacity), 0, [(capacity, 0)])] if capacity in left else []
-    large = sorted((s for s in left if s > capacity * LARGE_SHARE), reverse=True)
+    large = sorted((s for s in left if s > capacity * LARGE_SHARE), reverse=True) if groups else []
     by_room: dict[int, list[Run]] = defaultdict(list)
     rooms: list[int] = []
 
