@@ -98,9 +98,9 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds:
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[Run]:
-    """The fewest sequences that linear grouping gives with `groups` groups, three times as many, or none (best fit
-    alone): rounding up costs least with many groups, configurations pay most with few."""
-    plans = [grouped_plan(counts, capacity, g) for g in (groups, 3 * groups, 0)]
+    """The fewest sequences of two plans: linear grouping with `groups` groups, or with none (best fit
+    alone), which is better where lengths are spread evenly and rounding up costs more than configurations save."""
+    plans = [grouped_plan(counts, capacity, g) for g in (groups, 0)]
     return min(plans, key=lambda runs: sum(run.count for run in runs))
 
 
