@@ -1,5 +1,6 @@
-"""Amounts are doubles with two decimals. Sums run over whole cents, so they do not depend on the order in
-which partitions are merged, and stay on the primitive hash-aggregate path."""
+"""Amounts are doubles. Sums run over decimals with six places, so they keep small amounts and do not depend on the
+order in which partitions are merged. Amounts that are no number (NaN, infinite) count as missing. Rounding to cents is
+left to the folds and messages that ask for it."""
 
 from __future__ import annotations
 
@@ -8,7 +9,8 @@ from pyspark.sql import functions as F
 
 
 def to_cents(amount: Column) -> Column:
-    return F.floor(amount * F.lit(100.0) + F.lit(0.5)).cast("bigint")
+    """Whole cents, half up; null where the amount is no number or too large."""
+    return F.floor(amount.try_cast("decimal(28,6)") * F.lit(100) + F.lit(0.5).cast("decimal(2,1)")).try_cast("bigint")
 
 
 def from_cents(cents: Column) -> Column:
@@ -16,7 +18,7 @@ def from_cents(cents: Column) -> Column:
 
 
 def exact_sum(amount: Column) -> Column:
-    return from_cents(F.sum(to_cents(amount)))
+    return F.sum(amount.try_cast("decimal(28,6)")).cast("double")
 
 
 def round_amount(amount: Column, digits: int = 2) -> Column:

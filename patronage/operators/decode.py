@@ -45,7 +45,9 @@ def decode_payload(df: DataFrame, spec: Contract, encoding: str = "json", avsc:
         from pyspark.sql.avro.functions import from_avro
 
         parsed = from_avro(body, _avro_reader(spec, avsc), {"mode": "PERMISSIVE"})
-        unreadable = F.when(F.col("value").isNotNull() & F.col("_fields").isNull(), F.hex(body))
+        # permissive mode gives a struct of nulls for a record it cannot read
+        nothing = F.coalesce(*[F.col("_fields")[f.name].cast("string") for f in spec.schema.fields]).isNull()
+        unreadable = F.when(F.col("value").isNotNull() & nothing, F.hex(body))
     elif encoding in ("json", "framed_json"):
         schema = T.StructType([*spec.schema.fields, T.StructField(_CORRUPT, T.StringType())])
         parsed = F.from_json(body.cast("string"), schema, {"columnNameOfCorruptRecord": _CORRUPT})
@@ -76,6 +78,9 @@ def split_valid(decoded: DataFrame, spec: Contract) -> tuple[DataFrame, DataFram
     reason = reason.when(key.isNull() | (key == ""), "no_key")
     for test, name in zip(missing, [c for c in spec.required if c != spec.key]):
         reason = reason.when(test, f"no_{name}")
+    for name in (f.name for f in spec.schema.fields if isinstance(f.dataType, T.DoubleType)):
+        amount = F.col("payload")[name]
+        reason = reason.when(F.isnan(amount) | (F.abs(amount) == float("inf")), f"bad_{name}")
     tagged = decoded.withColumn("reason", reason)
     good = tagged.where(F.col("reason").isNull()).drop("reason", _CORRUPT, "value")
     bad = tagged.where(F.col("reason").isNotNull()).drop("payload", _CORRUPT)

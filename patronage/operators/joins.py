@@ -50,8 +50,8 @@ def asof_fill(
     """Give each fact the newest non-null value of `cols` among the customer's versions at or before it.
 
     One shuffle on the customer, with no join: both inputs are stacked and the columns carried forward in
-    order. A customer holding many rows is cut along `seq` into segments of even size (two per shuffle task, 256 at
-    most), each its own group; the state at a segment's start comes from a pre-aggregated pass over that customer's
+    order. A customer holding many rows is cut along `seq` into segments of even size (two per shuffle task), each
+    its own group; the state at a segment's start comes from a pre-aggregated pass over that customer's
     versions.
     """
     own = [c for c in facts.columns if c not in ("customer_id", seq)]
@@ -65,7 +65,7 @@ def asof_fill(
         hot = hot_keys(stacked, "customer_id")
     group = ["customer_id"]
     if hot:
-        cuts = segment_bounds(stacked, "customer_id", "_seq", hot, segments or min(2 * shuffle_width(stacked), 256))
+        cuts = segment_bounds(stacked, "customer_id", "_seq", hot, segments or 2 * shuffle_width(stacked))
         is_hot = F.col("customer_id").isin(list(hot))
         stacked = stacked.withColumn("_segment", F.when(is_hot, segment_of(F.col("_seq"), cuts)).otherwise(F.lit(0)))
         stacked = stacked.unionByName(_carried(stacked.where(is_hot), cols), allowMissingColumns=True)

@@ -12,7 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 64
+SALTS = 64  # at least; wider shuffles spread hot keys further
+MOST_HOT = 50_000  # keys one sketch looks for
 BROADCAST_KEYS = 500_000  # key sets up to this many rows (tens of megabytes) go to every executor
 
 
@@ -23,24 +24,26 @@ def shuffle_width(df: DataFrame) -> int:
 def hot_keys(df: DataFrame, key: str, parts: int | None = None) -> list[str]:
     """Keys holding more than 1/parts of the rows (so at most `parts` of them), found with one
     frequent-items sketch: reads the key column only, and shuffles one sketch per task."""
-    parts = min(max(parts or shuffle_width(df), 4), 1000)
+    parts = min(max(parts or shuffle_width(df), 4), MOST_HOT)
     found = df.select(
-        F.expr(f"approx_top_k(`{key}`, {parts}, {max(parts * 20, 1000)})").alias("top"), F.count(F.lit(1)).alias("n")
+        F.expr(f"approx_top_k(`{key}`, {parts}, {min(max(parts * 20, 1000), 1_000_000)})").alias("top"), F.count(F.lit(1)).alias("n")
     ).first()
     return [t["item"] for t in found["top"] if t["item"] is not None and t["count"] * parts > found["n"]]
 
 
 def spread_join(
     left: DataFrame, right: DataFrame, key: str, how: str, hot: Sequence[str], spread_on: str | Sequence[str],
-    salts: int = SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
-    """Equi-join that splits the left rows of hot keys over `salts` tasks and copies the matching right rows.
+    """Equi-join that splits the left rows of hot keys over `salts` tasks (two for each shuffle task, if not given) and
+    copies the matching right rows.
 
     `how` is left, left_semi, left_anti or inner. The right side should be unique by key: it grows by at most
     len(hot) x salts rows. The salt is a hash of `spread_on`, so a re-run task sends rows the same way.
     """
     if not hot:
         return left.join(right, key, how)
+    salts = salts or max(SALTS, 2 * shuffle_width(left))
     is_hot = F.col(key).isin(list(hot))
     spread_on = [spread_on] if isinstance(spread_on, str) else list(spread_on)
     salted_left = left.withColumn(

@@ -45,8 +45,9 @@ def silver_customers_of(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def silver_orders_of(spark: SparkSession, sf: str, scale: int = 1) -> DataFrame:
-    """One row per order id, as silver keeps them (the orders table is keyed by it)."""
-    return I.silver_form(I.order_events(spark, sf, scale), "placed_at")
+    """The newest row per order id, as silver keeps them (the orders table is keyed by it)."""
+    newest = K.latest_row(I.order_events(spark, sf, scale), ["order_id"], ["source_seq"])
+    return I.silver_form(newest, "placed_at")
 
 
 def bronze_of(events: DataFrame, key: str) -> DataFrame:
@@ -370,6 +371,21 @@ def order_summary(spark: SparkSession, sf: str) -> DataFrame:
     return M.order_summary(I.resent_orders(spark, sf).withColumnRenamed("placed_at", "order_placed_at"))
 
 
+@query("order_summary_fractional", """
+SELECT CAST(l_suppkey AS VARCHAR) AS customer_id,
+       CAST(SUM(CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) AS DECIMAL(28,6))) AS DOUBLE) AS lifetime_value,
+       COUNT(*) AS order_count, MAX(epoch_us(l_shipdate) // 1000) AS last_order_ts
+FROM lineitem GROUP BY 1""")
+def order_summary_fractional(spark: SparkSession, sf: str) -> DataFrame:
+    """Amounts with more than two decimals are summed as they are, not cut to cents one by one."""
+    net = "double(cast(l_extendedprice AS decimal(18,2)) * (1 - cast(l_discount AS decimal(4,2))))"
+    rows = I.table(spark, sf, "lineitem").selectExpr(
+        "string(l_orderkey) AS order_id", "string(l_suppkey) AS customer_id", f"{net} AS order_total",
+        "unix_millis(timestamp(l_shipdate)) AS order_placed_at",
+    )
+    return M.order_summary(rows)
+
+
 @query("activation_metrics", given("activation_summary") + """
 SELECT customer_id, delivered_messages, failed_messages FROM activation_summary""")
 def activation_metrics(spark: SparkSession, sf: str) -> DataFrame:

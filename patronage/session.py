@@ -37,9 +37,11 @@ def prefer_rocksdb(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only where the session names none (tests)."""
+    """The cluster's shared folder; a temporary one only where a local session names none (tests)."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="patronage-")
         spark.conf.set("spark.checkpoint.dir", configured)
     return configured.rstrip("/")

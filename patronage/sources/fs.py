@@ -16,6 +16,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(glob(spark, path))
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
+
+
 def make_dir(spark: SparkSession, path: str) -> str:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)

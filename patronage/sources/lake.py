@@ -3,8 +3,9 @@
 A table is a directory of change batches (`changes/batch=N`, one row per key and batch, append only) and, from
 time to time, a compacted base (`base/upto=N`, hash-partitioned into `bucket` directories). The current state is
 the newest row per key over the base and the batches after it. A batch counts once its `_SUCCESS` marker is
-there, so writers need no rename or lock, a batch id written twice changes nothing, and the change directory is
-itself the stream of changes.
+there, so writers need no rename or lock, and the change directory is itself the stream of changes. Batches are numbered
+by the table; which batch of which writer one holds is recorded beside them, so a batch that is sent again changes
+nothing, and a writer that starts to count anew loses nothing.
 """
 
 from __future__ import annotations
@@ -74,7 +75,11 @@ class Lake:
             *table.schema.fields, T.StructField("batch", T.LongType()), T.StructField("bucket", T.IntegerType())
         ])
         base = self.spark.read.schema(full).parquet(self.path(table.layer, table.name, "base", f"upto={bases[-1]}"))
-        return (base if prune is None else base.where(prune)).drop("bucket"), bases[-1]
+        marks = fs.glob(self.spark, self.path(table.layer, table.name, "base", f"upto={bases[-1]}", "_buckets-*"))
+        if prune is None or [m.rpartition("-")[2] for m in marks] != [str(self.buckets)]:
+            # written with another bucket count: every bucket is read
+            return base.drop("bucket"), bases[-1]
+        return base.where(prune).drop("bucket"), bases[-1]
 
     def scope(self, keys: DataFrame) -> Scope:
         """Restriction to the values of a one-column frame; one number per bucket comes to the driver."""
@@ -146,17 +151,23 @@ class Lake:
 
     # -- writing --------------------------------------------------------------------------------------------
 
-    def upsert_batch(self, df: DataFrame, batch_id: int, layer: str, name: str) -> bool:
-        """Write a batch's newest row per key; False when that batch id is already there. Null keys are dropped."""
+    def upsert_batch(self, df: DataFrame, batch_id: int, layer: str, name: str, writer: str = "") -> bool:
+        """Write a batch's newest row per key; False when this writer's batch is already there. Null keys are dropped.
+
+        A run that dies between the rows and their record writes them again as another batch, which changes nothing."""
         table = TABLES[layer, name]
-        if batch_id in self.batches(layer, name):
+        record = self.path(layer, name, "commits", f"{writer or 'any'}-{batch_id}")
+        if fs.exists(self.spark, record):
             return False
+        present = fs.glob(self.spark, self.path(layer, name, "changes", "batch=*"))
+        number = max((int(p.rpartition("=")[2]) for p in present), default=-1) + 1
         columns = table.schema.fields
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns])
         rows = typed.dropna(subset=list(table.keys))
         if table.order_by:
             rows = latest_row(rows, table.keys, table.order_by)
-        rows.write.mode("overwrite").parquet(self.path(layer, name, "changes", f"batch={batch_id}"))
+        rows.write.mode("overwrite").parquet(self.path(layer, name, "changes", f"batch={number}"))
+        fs.touch(self.spark, record)
         return True
 
     def _write_base(self, rows: DataFrame, layer: str, name: str, upto: int) -> None:
@@ -164,6 +175,7 @@ class Lake:
         laid_out = rows.withColumn("bucket", self.bucket(F.col(TABLES[layer, name].cluster_by))).hint("rebalance", "bucket")
         target = self.path(layer, name, "base", f"upto={upto}")
         laid_out.write.mode("overwrite").partitionBy("bucket").parquet(target)
+        fs.touch(self.spark, f"{target}/_buckets-{self.buckets}")
 
     def compact(self, layer: str, name: str) -> None:
         """Fold all batches so far into a new base; older files stay, so running readers are not disturbed."""

@@ -78,10 +78,17 @@ class Pipeline:
     def published_path(self, name: str) -> str:
         return f"{self.root}/published/{name}"
 
-    def each_batch(self, stream: DataFrame, name: str, work: Batch, mode: str = "append") -> StreamingQuery:
+    def each_batch(
+        self, stream: DataFrame, name: str, work: Batch, mode: str = "append", reread: bool = True
+    ) -> StreamingQuery:
+        """`reread` keeps the batch in memory or on disk, for work that reads it more than once."""
+
         def call(batch: DataFrame, batch_id: int) -> None:
             # streaming sessions switch adaptive planning off; the batch jobs below want it
             batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
+            if not reread:
+                work(batch, batch_id)
+                return
             kept = batch.persist()
             try:
                 work(kept, batch_id)
@@ -97,10 +104,12 @@ class Pipeline:
                 # a replayed batch is not written again, but a stateful query must still bring its state forward
                 batch.write.format("noop").mode("overwrite").save()
 
-        return self.each_batch(stream, f"{layer}_{name}", write, mode)
+        return self.each_batch(stream, f"{layer}_{name}", write, mode, reread=False)
 
     def _upsert(self, df: DataFrame, batch_id: int, layer: str, name: str) -> bool:
-        written = self.lake.upsert_batch(df, batch_id, layer, name)
+        # the id of the running query: batch numbers start again with every new checkpoint
+        writer = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+        written = self.lake.upsert_batch(df, batch_id, layer, name, writer)
         if written and batch_id % self.compact_every == self.compact_every - 1:
             self.lake.compact(layer, name)
         return written

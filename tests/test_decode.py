@@ -1,3 +1,5 @@
+import json
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -143,3 +145,17 @@ def test_positional_rows(spark):
     df = spark.createDataFrame([(["c", "1"],), ([],)], "columns array<string>")
     first, second = rows_from_columns(df, CONSOLIDATED_COLUMNS).collect()
     assert first[:3] == ("c", "1", None) and len(first) == len(CONSOLIDATED_COLUMNS) and not any(second)
+
+
+def test_amounts_that_are_no_number_are_quarantined_and_small_ones_kept(spark):
+    from patronage.functions.money import exact_sum, to_cents
+
+    rows = spark.createDataFrame([(k, json.dumps({"order_id": k, "customer_id": "c", "placed_at": 1, "items": []}).replace("}", f', "order_total": {v}}}'), None, n)
+                                  for n, (k, v) in enumerate([("o1", "1.5"), ("o2", '"Infinity"'), ("o3", '"NaN"')])],
+                                 "key string, value string, timestamp timestamp, source_seq bigint")
+    good, bad = split_valid(decode_payload(rows, ORDER), ORDER)
+    assert [r.source_seq for r in good.collect()] == [0]
+    assert all(r.reason in ("bad_order_total", "unreadable") for r in bad.collect()) and bad.count() == 2
+    amounts = spark.createDataFrame([(0.004,), (0.004,), (float("inf"),), (float("nan"),)], "a double")
+    assert amounts.agg(exact_sum(amounts.a)).first()[0] == 0.008
+    assert [r[0] for r in amounts.select(to_cents(amounts.a)).collect()] == [0, 0, None, None]

@@ -95,3 +95,19 @@ def test_state_does_not_depend_on_the_split_into_batches(spark, tmp_path_factory
             lake.compact("silver", "customers")
     want = {k: (k, v, i) for k, v, i in numbered}
     assert read(lake, rows_of) == sorted(want.values(), key=str)
+
+
+def test_a_writer_that_counts_anew_loses_nothing(spark, root, rows_of):
+    lake = Lake(spark, root)
+    assert lake.upsert_batch(profiles(spark, ("a", "a1", 1)), 0, "silver", "customers", "first query")
+    assert lake.upsert_batch(profiles(spark, ("b", "b1", 1)), 0, "silver", "customers", "second query")
+    assert not lake.upsert_batch(profiles(spark, ("b", "again", 9)), 0, "silver", "customers", "second query")
+    assert read(lake, rows_of) == [("a", "a1", 1), ("b", "b1", 1)]
+
+
+def test_a_base_with_another_bucket_count_is_read_whole(spark, root, rows_of):
+    wide = Lake(spark, root, buckets=16)
+    wide.upsert_batch(profiles(spark, *[(f"c{i}", "e", i) for i in range(20)]), 0, "silver", "customers")
+    wide.compact("silver", "customers")
+    other = Lake(spark, root, buckets=64)
+    assert all(other.lookup("silver", "customers", f"c{i}").count() == 1 for i in range(0, 20, 4))
