@@ -32,7 +32,7 @@ BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 #: Candidates whose registers agree less than this are not verified: five standard deviations below 0.8, and more.
 LEAST_ESTIMATE = 0.6
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_STEP = 0x9E3779B97F4A7C15
 _ODD = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 SIGNED = "doc_id long, u1 long, u2 long, bands array<long>, sketch binary"
 SHINGLED = "u1 long, u2 long, shingles array<long>"
@@ -85,10 +85,10 @@ def registers(owner: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int, m:
     limit = np.full(n, np.inf)
     owner, key, clock = owner.copy(), key.copy(), np.zeros(len(key))
     rate = 1 / weight
-    turn = np.uint64(0)
+    turn = 0
     while len(key):
-        turn += np.uint64(1)
-        bits = mix(key + turn * _STEP)
+        turn += 1
+        bits = mix(key + np.uint64(turn * _STEP & (2**64 - 1)))
         clock = clock - np.log(((bits >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53) * rate
         live = clock < limit[owner]
         if not live.all():
