@@ -9,7 +9,7 @@ shingles x registers.
 Equal word sequences are one text. Texts that agree in all registers of a band are candidates; a link is a pair whose
 shingle sets have Jaccard similarity of `least` or more, and a class is a connected component of links. Pairs in a band's
 bucket are not all written out: one pivot is compared with the bucket's other texts first, then more pivots with the
-texts that are still in other classes, four times as many each round, until every pair of the bucket was compared or is
+texts that are still in other classes, sixteen times as many each round, until every pair of the bucket was compared or is
 in one class. So every link between candidates counts, and a large group of copies costs a star, not a square.
 """
 
@@ -32,6 +32,8 @@ BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 #: Candidates whose registers agree less than this are not verified: five standard deviations below 0.8, and more.
 LEAST_ESTIMATE = 0.6
+#: Pivots of a mixed bucket: so many at first, and so many times as many each round.
+FIRST_SHARE, SHARE_GROWTH = 4, 16
 _STEP = 0x9E3779B97F4A7C15
 _ODD = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 SIGNED = "doc_id long, u1 long, u2 long, bands array<long>, sketch binary"
@@ -221,7 +223,7 @@ def classes(documents: DataFrame, least: float = LEAST) -> DataFrame:
     links = [written(verified(likely(tested[0], own), sets, least), "verified")]
     labels = components(links[0])
     spread = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) / float(1 << 30)
-    share, before = 4.0, 0.0
+    share, before = float(FIRST_SHARE), 0.0
     while True:
         labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
         mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("band")
@@ -244,7 +246,7 @@ def classes(documents: DataFrame, least: float = LEAST) -> DataFrame:
             labels = components(every)
         if share >= most:
             break
-        share, before = share * 4, share
+        share, before = share * SHARE_GROWTH, share
 
     class_of = labels.join(nodes, "node").select("u1", "u2", "label")
     classed = signed.select("doc_id", "u1", "u2").join(class_of, ["u1", "u2"], "left")
