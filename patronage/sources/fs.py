@@ -21,6 +21,15 @@ def touch(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).create(target, True).close()
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """A folder under a new name, where nothing may be yet: one step on HDFS and local disks."""
+    old, new = spark._jvm.org.apache.hadoop.fs.Path(source), spark._jvm.org.apache.hadoop.fs.Path(target)
+    files = new.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(new.getParent())
+    if files.exists(new) or not files.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def make_dir(spark: SparkSession, path: str) -> str:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)

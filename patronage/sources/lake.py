@@ -2,14 +2,15 @@
 
 A table is a directory of change batches (`changes/batch=N`, one row per key and batch, append only) and, from
 time to time, a compacted base (`base/upto=N`, hash-partitioned into `bucket` directories). The current state is
-the newest row per key over the base and the batches after it. A batch counts once its `_SUCCESS` marker is
-there, so writers need no rename or lock, and the change directory is itself the stream of changes. Batches are numbered
+the newest row per key over the base and the batches after it. A batch is written elsewhere and renamed into the change
+directory when it is complete, so that directory is itself the stream of changes. Batches are numbered
 by the table; which batch of which writer one holds is recorded beside them, so a batch that is sent again changes
 nothing, and a writer that starts to count anew loses nothing.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -104,13 +105,20 @@ class Lake:
             # as long as the changed keys are few enough for Spark to broadcast
             base, columns = restrict(base), changes.columns
             changed = changes.select(*keys).distinct()
-            contested = base.join(changed, keys, "left_semi").select(*columns).unionByName(changes)
+            # a change must beat the key's row in the base wherever that row lies, so ranking comes before restriction;
+            # where rows stay in the bucket of their key, the pruned base holds it
+            rivals = base if table.cluster_by in keys else self._base(table, None)[0]
+            contested = rivals.join(changed, keys, "left_semi").select(*columns).unionByName(changes)
             rows = base.join(changed, keys, "left_anti").select(*columns).unionByName(latest_row(contested, keys, rank))
         return restrict(rows)
 
     def _live(self, table: KeyedTable, rows: DataFrame) -> DataFrame:
         return rows.where(~F.coalesce(F.col(table.deleted), F.lit(False))) if table.deleted else rows
 
+    @staticmethod
+    def _shown(table: KeyedTable) -> list[str]:
+        return [c for c in table.schema.fieldNames() if c != table.deleted]
+
     def read(self, layer: str, name: str, within: Scope | None = None) -> DataFrame:
         """Current rows, restricted to the `cluster_by` values in scope when given."""
         table = TABLES[layer, name]
@@ -121,13 +129,14 @@ class Lake:
                 table, within.prune(),
                 lambda df: restrict_to_keys(df, within.keys, table.cluster_by, within.count, table.keys),
             )
-        return self._live(table, rows).select(*table.schema.fieldNames())
+        return self._live(table, rows).select(*self._shown(table))
 
     def read_or_empty(self, layer: str, name: str, within: Scope | None = None) -> DataFrame:
         """As `read`; a table nobody has written yet has no rows. Both cases have the same schema."""
         if self.exists(layer, name):
             return self.read(layer, name, within)
-        return self.spark.createDataFrame([], TABLES[layer, name].schema)
+        table = TABLES[layer, name]
+        return self.spark.createDataFrame([], table.schema).select(*self._shown(table))
 
     def lookup(self, layer: str, name: str, value: str) -> DataFrame:
         """Rows of one `cluster_by` value: the base scan reads a single bucket directory."""
@@ -135,7 +144,7 @@ class Lake:
         rows = self._current(
             table, F.col("bucket") == self.bucket(wanted), lambda df: df.where(F.col(table.cluster_by) == wanted)
         )
-        return self._live(table, rows).select(*table.schema.fieldNames())
+        return self._live(table, rows).select(*self._shown(table))
 
     def versions(self, layer: str, name: str) -> DataFrame:
         """Every version ever written of every key, from the change batches."""
@@ -162,11 +171,16 @@ class Lake:
         present = fs.glob(self.spark, self.path(layer, name, "changes", "batch=*"))
         number = max((int(p.rpartition("=")[2]) for p in present), default=-1) + 1
         columns = table.schema.fields
+        if table.deleted and table.deleted not in df.columns:
+            df = df.withColumn(table.deleted, F.lit(False))
         typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in columns])
         rows = typed.dropna(subset=list(table.keys))
         if table.order_by:
             rows = latest_row(rows, table.keys, table.order_by)
-        rows.write.mode("overwrite").parquet(self.path(layer, name, "changes", f"batch={number}"))
+        # written elsewhere and moved as a whole: whoever streams the changes sees a batch's files only once the batch counts
+        ready = self.path(layer, name, "writing", uuid.uuid4().hex)
+        rows.write.parquet(ready)
+        fs.move(self.spark, ready, self.path(layer, name, "changes", f"batch={number}"))
         fs.touch(self.spark, record)
         return True
 

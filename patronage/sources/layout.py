@@ -54,8 +54,8 @@ TABLES = {
         _table(
             "gold", "c360",
             f"customer_id string, {_NAMES}, lifecycle_stage string, is_active boolean, {_METRICS}, "
-            "last_order_at timestamp, delivered_messages bigint, failed_messages bigint, updated_at timestamp",
-            ("customer_id",),
+            "last_order_at timestamp, delivered_messages bigint, failed_messages bigint, updated_at timestamp, removed boolean",
+            ("customer_id",), deleted="removed",
         ),
         _table(
             "live", "profile",

@@ -175,7 +175,11 @@ class Pipeline:
                     keys = keys.unionByName(owners.join(ids, key, "left_semi").select("customer_id"))
             keys = keys.where(F.col("customer_id").isNotNull()).distinct().persist()
             try:
-                self._upsert(self.gold_rows(self.lake.scope(keys)), batch_id, "gold", "c360")
+                within = self.lake.scope(keys)
+                # a customer whose last order went to another one has a gold row but gets none now
+                before = self.lake.read_or_empty("gold", "c360", within).select("customer_id")
+                rows = self.gold_rows(within).withColumn("_built", F.lit(True)).join(before, "customer_id", "full_outer")
+                self._upsert(rows.withColumn("removed", F.col("_built").isNull()), batch_id, "gold", "c360")
             finally:
                 keys.unpersist()
 
@@ -198,18 +202,23 @@ class Pipeline:
         writer = writer.option("topic", topic).option("checkpointLocation", self._checkpoint(f"publish_{name}"))
         return writer.outputMode("append").trigger(**self.trigger).start()
 
-    def _message_stream(self, rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    def _message_stream(self, rows: DataFrame, columns: tuple[str, ...], removed: Column | None = None) -> DataFrame:
+        value = F.to_json(F.struct(*columns))
+        if removed is not None:
+            value = F.when(~F.coalesce(removed, F.lit(False)), value)
         return rows.select(
-            F.col("customer_id").cast("string").alias("key"), F.to_json(F.struct(*columns)).alias("value"),
+            F.col("customer_id").cast("string").alias("key"), value.alias("value"),
             F.current_timestamp().alias("timestamp"), F.col("batch").alias("source_seq"),
         )
 
     def run_publish_c360(self, topic: str | None = None) -> StreamingQuery:
+        """A message for every changed gold row; a null value for a removed one, which deletes it in serving."""
         rows = V.with_last_order_ts(self._changes("gold", "c360"))
-        return self.publish(self._message_stream(rows, V.C360_MESSAGE), "c360", topic=topic)
+        messages = self._message_stream(rows, V.C360_MESSAGE, F.col("removed"))
+        return self.publish(messages, "c360", topic=topic)
 
     def run_publish_propensity(self, topic: str | None = None) -> StreamingQuery:
-        gold = self._changes("gold", "c360")
+        gold = self._changes("gold", "c360").where(~F.coalesce("removed", F.lit(False)))
         scored = gold.select(
             "customer_id", "email", "lifecycle_stage", S.propensity_column().alias("propensity"), "batch",
             F.current_timestamp().alias("scored_at"),

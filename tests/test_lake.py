@@ -1,9 +1,13 @@
+import glob
+import os
+
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from patronage import Lake
+from patronage.sources.layout import TABLES
 
 SCHEMA = "customer_id string, email string, first_name string, last_name string, created_at timestamp, lifecycle_stage string, is_active boolean, ingested_at timestamp, source_seq bigint"
 
@@ -105,6 +109,38 @@ def test_a_writer_that_counts_anew_loses_nothing(spark, root, rows_of):
     assert read(lake, rows_of) == [("a", "a1", 1), ("b", "b1", 1)]
 
 
+def test_files_of_a_batch_are_seen_only_when_it_counts(spark, root):
+    lake = Lake(spark, root)
+
+    broken = profiles(spark, ("a", "a1", 1)).withColumn("email", F.raise_error(F.lit("in the middle of writing")).cast("string"))
+    with pytest.raises(Exception, match="in the middle"):
+        lake.upsert_batch(broken, 0, "silver", "customers")
+    assert not glob.glob(lake.path("silver", "customers", "changes", "*"))
+    assert lake.upsert_batch(profiles(spark, ("a", "a1", 1)), 0, "silver", "customers")
+    for batch in glob.glob(lake.path("silver", "customers", "changes", "*")):
+        assert os.path.exists(f"{batch}/_SUCCESS")
+
+
+def test_a_late_row_of_a_moved_order_shows_under_neither_customer_twice(spark, root, rows_of):
+    schema = "order_id string, customer_id string, order_total double, source_seq bigint"
+    lake = Lake(spark, root, buckets=8)
+
+    def orders(*rows):
+        frame = spark.createDataFrame(rows, schema)
+        missing = [f for f in TABLES["silver", "orders"].schema.fields if f.name not in frame.columns]
+        return frame.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in missing])
+
+    lake.upsert_batch(orders(("o1", "B", 1.0, 10), ("o2", "A", 1.0, 1)), 0, "silver", "orders")
+    lake.compact("silver", "orders")
+    lake.upsert_batch(orders(("o1", "A", 1.0, 5)), 1, "silver", "orders")
+    whole = rows_of(lake.read("silver", "orders"), "order_id", "customer_id")
+    assert whole == [("o1", "B"), ("o2", "A")]
+    for customer, owned in (("A", ["o2"]), ("B", ["o1"])):
+        keys = spark.createDataFrame([(customer,)], "customer_id string")
+        assert rows_of(lake.read("silver", "orders", within=lake.scope(keys)), "order_id") == [(o,) for o in owned]
+        assert rows_of(lake.lookup("silver", "orders", customer), "order_id") == [(o,) for o in owned]
+
+
 def test_a_base_with_another_bucket_count_is_read_whole(spark, root, rows_of):
     wide = Lake(spark, root, buckets=16)
     wide.upsert_batch(profiles(spark, *[(f"c{i}", "e", i) for i in range(20)]), 0, "silver", "customers")

@@ -108,6 +108,24 @@ def test_lake_path_end_to_end(pipe, rows_of):
     assert all(0.5 <= r[0] <= 1.0 for r in sent)
 
 
+def test_a_customer_left_without_orders_leaves_gold_and_serving(pipe, rows_of):
+    feed(pipe, ORDER)
+    feed(pipe, ACTIVATION)
+    run_lake(pipe)
+    pipe.finish(pipe.run_publish_c360())
+    pipe.finish(pipe.run_serving())
+    assert rows_of(pipe.lake.read("serving", "customers"), "customer_id") == [("a",), ("b",), ("ghost",)]
+    drop(pipe.topics["order"], 60, ORDER, [(30, {**ORDERS[2][1], "customer_id": "b"})])
+    run_lake(pipe)
+    assert rows_of(pipe.lake.read("gold", "c360"), "customer_id", "order_count") == [("a", 3), ("b", 2)]
+    pipe.finish(pipe.run_publish_c360(), pipe.run_publish_propensity())
+    pipe.finish(pipe.run_serving())
+    assert rows_of(pipe.lake.read("serving", "customers"), "customer_id", "order_count") == [("a", 3), ("b", 2)]
+    drop(pipe.topics["order"], 61, ORDER, [(31, ORDERS[2][1])])  # and back again
+    run_lake(pipe)
+    assert rows_of(pipe.lake.read("gold", "c360"), "customer_id", "order_count") == [("a", 3), ("b", 1), ("ghost", 1)]
+
+
 def test_replay_of_a_batch_adds_nothing(pipe, rows_of):
     feed(pipe, PROFILE)
     feed(pipe, ORDER)
