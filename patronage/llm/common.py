@@ -76,9 +76,8 @@ _shipped: set[str] = set()
 BATCH_ROWS, BATCH_BYTES = 2_000, "4m"
 
 
-def map_arrow(frame: DataFrame, function, schema: str) -> DataFrame:
-    """mapInArrow, with this package shipped to the executors once per application, and batches kept small."""
-    spark = frame.sparkSession
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, once per application, and keeps Arrow batches small."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
@@ -91,4 +90,9 @@ def map_arrow(frame: DataFrame, function, schema: str) -> DataFrame:
                 out.write(source, f"patronage/{source.relative_to(package)}")
         context.addPyFile(str(made))
         _shipped.add(context.applicationId)
+
+
+def map_arrow(frame: DataFrame, function, schema: str) -> DataFrame:
+    """mapInArrow, with this package shipped to the executors."""
+    ship(frame.sparkSession)
     return frame.mapInArrow(function, schema)

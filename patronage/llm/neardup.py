@@ -8,9 +8,10 @@ shingles x registers.
 
 Equal word sequences are one text. Texts that agree in all registers of a band are candidates; a link is a pair whose
 shingle sets have Jaccard similarity of `least` or more, and a class is a connected component of links. Pairs in a band's
-bucket are not all written out: one pivot is compared with the bucket's other texts first, then more pivots with the
-texts that are still in other classes, sixteen times as many each round, until every pair of the bucket was compared or is
-in one class. So every link between candidates counts, and a large group of copies costs a star, not a square.
+bucket are not written out: one pivot is compared with the bucket's other texts first, then four more with the texts that
+are still in other classes. Where a bucket still holds several classes, its texts are compared across classes in blocks
+inside tasks, by matrices of their shingles, and only links leave a task. So every link between candidates counts, and a
+large group of copies costs a star, not a square.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronage.llm.common import map_arrow, small_side, written
+from patronage.llm.common import map_arrow, ship, small_side, written
 from patronage.llm.textbytes import Rolling, mix, per_row, pick, slices, words
 
 SHINGLE = 5
@@ -32,8 +33,10 @@ BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 #: Candidates whose registers agree less than this are not verified: five standard deviations below 0.8, and more.
 LEAST_ESTIMATE = 0.6
-#: Pivots of a mixed bucket: so many at first, and so many times as many each round.
-FIRST_SHARE, SHARE_GROWTH = 4, 16
+#: Pivots of a mixed bucket, on average; all members of buckets with no more.
+PIVOTS = 4
+#: Shingles of a group of a mixed bucket, and the tile of the matrices in which two groups are compared.
+GROUP_SHINGLES, COMPARED_ROWS, COMPARED_COLUMNS = 1 << 16, 256, 512
 _STEP = 0x9E3779B97F4A7C15
 _ODD = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 SIGNED = "doc_id long, u1 long, u2 long, bands array<long>, sketch binary"
@@ -181,6 +184,81 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFra
     return joined.where(shared >= least * (F.size("sa") + F.size("sb") - shared) - 1e-9).select("a", "b")
 
 
+def mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """The members, with labels, of buckets whose texts are not all in one class yet."""
+    labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    bands = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high")
+    return labelled.join(bands.select("band"), "band")
+
+
+def overlaps(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places (a, b) of linked sets with different labels. Sets of side 0 are compared with those of side 1; where there
+    is no side 1, with each other. The most frequent label's sets are not compared among themselves."""
+    known, times = np.unique(label, return_counts=True)
+    size = np.array([len(x) for x in sets])
+    token = np.concatenate(sets)
+    holder = np.repeat(np.arange(len(sets)), size)
+    names, column, held = np.unique(token, return_inverse=True, return_counts=True)
+    often = held > 1  # a shingle that one set holds is in no overlap
+    place = np.cumsum(often) - 1
+    keep = often[column]
+    holder, column, width = holder[keep], place[column[keep]], int(often.sum())
+    order = np.argsort(column, kind="stable")
+    holder, column = holder[order], column[order]
+    one, two = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if side.any() else (np.arange(len(sets)),) * 2
+    most = label == known[times.argmax()]
+    found = []
+    for rows, cols in ((one[~most[one]], two), (one[most[one]], two[~most[two]])) if side.any() else ((one[~most[one]], two),):
+        for at in range(0, len(rows), COMPARED_ROWS):
+            part = rows[at : at + COMPARED_ROWS]
+            row_of, col_of = np.full(len(sets), -1), np.full(len(sets), -1)
+            row_of[part], col_of[cols] = np.arange(len(part)), np.arange(len(cols))
+            shared = np.zeros((len(part), len(cols)), np.float32)
+            for low in range(0, width, COMPARED_COLUMNS):
+                cut = slice(*np.searchsorted(column, (low, low + COMPARED_COLUMNS)))
+                h, c = holder[cut], column[cut] - low
+                left = np.zeros((len(part), COMPARED_COLUMNS), np.float32)
+                right = np.zeros((len(cols), COMPARED_COLUMNS), np.float32)
+                left[row_of[h][row_of[h] >= 0], c[row_of[h] >= 0]] = 1
+                right[col_of[h][col_of[h] >= 0], c[col_of[h] >= 0]] = 1
+                shared += left @ right.T
+            near = shared >= least * (size[part][:, None] + size[cols][None, :] - shared) - 1e-9
+            near &= label[part][:, None] != label[cols][None, :]
+            a, b = np.nonzero(near)
+            found.append((part[a], cols[b]))
+    if not found:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
+
+
+def compared(members: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFrame:
+    """All links between members of a bucket that have different labels.
+
+    A bucket's members are dealt to groups of about GROUP_SHINGLES shingles, and a task compares two groups at a time by
+    their shingles; only links leave it.
+    """
+    members = written(members.join(sets, "node").select("band", "node", "label", "shingles"), "mixed-shingles")
+    groups = members.groupBy("band").agg(F.ceil(F.sum(F.size("shingles")) / GROUP_SHINGLES).cast("int").alias("groups"))
+    dealt = members.join(groups, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
+    dealt = dealt.select("band", F.least("own", "other").alias("g"), F.greatest("own", "other").alias("h"), "own", "node", "label", "shingles")
+
+    def link(table: pa.Table) -> pa.Table:
+        node, label = (table[c].to_numpy() for c in ("node", "label"))
+        side = (table["own"].to_numpy() != table["g"].to_numpy()).astype(np.int8)
+        a = b = np.zeros(0, np.int64)
+        g, h = table["g"][0].as_py(), table["h"][0].as_py()
+        if (g == h or 0 < side.sum() < len(side)) and (label != label[0]).any():
+            lists = table["shingles"].combine_chunks()
+            values, cuts = lists.values.to_numpy(), lists.offsets.to_numpy()
+            a, b = overlaps([values[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)], label, side, least)
+        return pa.table({"a": node[a].astype(np.int64), "b": node[b].astype(np.int64)})
+
+    ship(members.sparkSession)
+    found = dealt.groupBy("band", "g", "h").applyInArrow(link, "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def components(links: DataFrame) -> DataFrame:
     """node, label: the least node each linked node is connected to. Labels spread along links and jump to their own
     label's label, so rounds grow with the logarithm of a component's diameter; each round is a written table."""
@@ -219,34 +297,19 @@ def classes(documents: DataFrame, least: float = LEAST) -> DataFrame:
 
     pivots = members.groupBy("band").agg(F.min("node").alias("pivot"))
     star = members.join(pivots, "band").where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    tested = [written(star, "pairs")]
-    links = [written(verified(likely(tested[0], own), sets, least), "verified")]
-    labels = components(links[0])
+    star = written(star, "pairs")
+    links = written(verified(likely(star, own), sets, least), "links")
+    labels = components(links)
     spread = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) / float(1 << 30)
-    share, before = float(FIRST_SHARE), 0.0
-    while True:
-        labelled = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        mixed = labelled.groupBy("band").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low != high").select("band")
-        left = written(labelled.where(f"n > {before}").join(mixed, "band").withColumn("spread", spread), "mixed-buckets")
-        most = left.agg(F.max("n")).first()[0]
-        if most is None:
-            break
-        pivots = left.where((F.col("spread") < share / F.col("n")) & (F.col("spread") >= before / F.col("n")))
-        pivots = pivots.select("band", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
-        pairs = left.join(pivots, "band").where("label != pivot_label").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
-        for earlier in tested:
-            pairs = pairs.join(earlier, ["a", "b"], "left_anti")
-        tested.append(written(pairs, "pairs"))
-        found = written(verified(likely(tested[-1], own), sets, least), "verified")
-        if not found.isEmpty():
-            links.append(found)
-            every = links[0]
-            for more in links[1:]:
-                every = every.union(more)
-            labels = components(every)
-        if share >= most:
-            break
-        share, before = share * SHARE_GROWTH, share
+    left = written(mixed(members, labels).withColumn("spread", spread), "mixed-buckets")
+    pivots = left.where(F.col("spread") < PIVOTS / F.col("n")).select("band", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
+    pairs = left.join(pivots, "band").where("label != pivot_label").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
+    pairs = written(pairs.distinct().join(star, ["a", "b"], "left_anti"), "pairs")
+    links = written(links.union(verified(likely(pairs, own), sets, least)), "links")
+    labels = components(links)
+    found = written(compared(mixed(members.where(F.col("n") > PIVOTS), labels), sets, least), "links")
+    if not found.isEmpty():
+        labels = components(links.union(found))
 
     class_of = labels.join(nodes, "node").select("u1", "u2", "label")
     classed = signed.select("doc_id", "u1", "u2").join(class_of, ["u1", "u2"], "left")

@@ -185,6 +185,28 @@ def test_shingles_of_short_and_empty_rows():
     assert neardup.shingles(names[:0], rows[:0], 3)[0].tolist() == []
 
 
+
+@pytest.mark.parametrize("two_sides", [False, True])
+def test_overlaps_of_blocks(two_sides):
+    draw = np.random.default_rng(5)
+    base = draw.integers(-(2**62), 2**62, 700)
+    sets = []
+    for k in range(600):  # more rows than a tile has; some with a few members only
+        own = base[draw.random(700) < (0.95 if k % 3 else 0.8)] if k % 7 else base[: k % 5 + 1]
+        sets.append(np.unique(np.append(own, draw.integers(-(2**62), 2**62, k % 11))))
+    label, side = draw.integers(0, 6, 600) // 3 * 3, np.arange(600) % 2 * int(two_sides)
+    a, b = neardup.overlaps(sets, label, side, 0.8)
+    got = {(min(x), max(x)) for x in zip(a.tolist(), b.tolist())}
+    want = set()
+    for i in range(600):
+        for j in range(i):
+            if label[i] != label[j] and (not two_sides or side[i] != side[j]):
+                shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                if shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared) - 1e-9:
+                    want.add((j, i))
+    assert got == want and want
+
+
 def test_language_vectors_tell_languages_apart():
     first, second = ["the cat sat on the mat and the dog"] * 3, ["der hund und die katze in dem haus"] * 3
     vectors, letters = language.text_vectors(first + second + ["", "123 !!"])
