@@ -358,3 +358,22 @@ def test_pipeline_keeps_clean_documents(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs_after = stage(spark, docs, folder)
         assert docs_after.columns == docs.columns and docs_after.dtypes == docs.dtypes
+
+
+def test_near_duplicate_blocks(spark, monkeypatch):
+    """Links across classes are the same however many groups a bucket is dealt to."""
+    draw = random.Random(9)
+    base = list(range(100))
+    sets = [sorted(set(draw.sample(base, draw.randint(80, 100)) + [1000 + k])) for k in range(60)]
+    labels = [draw.choice([0, 0, 0, k]) for k in range(60)]
+    members = spark.createDataFrame([(7, k, labels[k]) for k in range(60)] + [(8, 0, labels[0]), (8, 1, 99)], "band long, node long, label long")
+    shingles = spark.createDataFrame(list(enumerate(sets)), "node long, shingles array<long>")
+    want = {
+        (i, j) for j in range(60) for i in range(j)
+        if labels[i] != labels[j] and 5 * len({*sets[i]} & {*sets[j]}) >= 4 * len({*sets[i]} | {*sets[j]})
+    }
+    if 5 * len({*sets[0]} & {*sets[1]}) >= 4 * len({*sets[0]} | {*sets[1]}):
+        want.add((0, 1))
+    for size in (1 << 16, 700):
+        monkeypatch.setattr(neardup, "GROUP_SHINGLES", size)
+        assert {(r.a, r.b) for r in neardup.compared(members, shingles).collect()} == want and want
