@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _LOCAL = "A-Za-z0-9._%+-"
-_BYTE = "0*+(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
+#: Zeros in front are given back where a part holds nothing else: 0 is a number too.
+_BYTE = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 #: Characters before a span that are searched for context words.
 CONTEXT_CHARS = 48
 LEAST_SCORE = 0.6

@@ -292,6 +292,13 @@ def test_personal_data(spark, odd, empty):
     assert personal.report(odd).count() == odd.count() and personal.report(empty).count() == 0
 
 
+def test_addresses_with_zero_parts(spark):
+    texts = ["10.0.0.1", "at 127.0.0.1, 192.168.0.12", "0.0.0.0 000.00.0.000", "0256.0.0.1", "0.0.0.0255", f"{'0' * 4000}.0.0.{'0' * 4000}256"]
+    got = {r.doc_id: r for r in personal.report(table(spark, list(enumerate(texts)))).collect()}
+    assert [got[i].n_ip for i in range(6)] == [1, 2, 2, 0, 1, 0]
+    assert all(got[i].spans == base_spans(t) for i, t in enumerate(texts))
+
+
 def test_checksums_and_context_decide_on_the_added_kinds(spark):
     texts = [
         "iban DE89 3704 0044 0532 0130 00", "DE89370400440532013001", "social security 123-45-6789", "part 123-45-6789", "GB82 WEST 1234 5698 7654 32.",
