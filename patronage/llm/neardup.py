@@ -1,8 +1,9 @@
 """Near-duplicate documents by ProbMinHash, banding and exact verification.
 
-A document's shingles (five lower-case words between ASCII white space; all words where there are fewer) are weighted
-1 + ln(count). Each shingle sends arrivals of a Poisson process with its weight as rate to random registers; a register
-keeps the shingle that came first. Two documents agree in a register with their probability Jaccard similarity. A
+A document's shingles are five lower-case words between ASCII white space; all words where there are fewer. Each
+shingle sends arrivals of a Poisson process with its weight as rate to random registers; a register keeps the shingle
+that came first. Two documents agree in a register with their probability Jaccard similarity. Links are decided on sets,
+so every shingle weighs 1, however often it is repeated: the probability is then the sets' Jaccard similarity itself. A
 document's process ends when no later arrival can win: about `registers` x ln(`registers`) arrivals instead of
 shingles x registers.
 
@@ -31,7 +32,8 @@ SHINGLE = 5
 LEAST = 0.8
 BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
-#: Candidates whose registers agree less than this are not verified: five standard deviations below 0.8, and more.
+#: Candidates whose registers agree less than this are not verified. Registers agree with the sets' Jaccard similarity, so
+#: at 0.8 this is six standard deviations below, whatever is repeated: a pair is lost with probability 2e-9.
 LEAST_ESTIMATE = 0.6
 #: Pivots of a mixed bucket, on average; all members of buckets with no more.
 PIVOTS = 4
@@ -124,8 +126,8 @@ def signatures(documents: DataFrame) -> DataFrame:
             doc_id = pick(batch.column(0))
             for first, last, names, rows in _prepared(pick(batch.column(1))):
                 n = last - first
-                owner, key, times = shingles(names, rows, n)
-                won = registers(owner, key, 1 + np.log(times), n)
+                owner, key, _ = shingles(names, rows, n)
+                won = registers(owner, key, np.ones(len(key)), n)
                 band = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (n, BANDS)).copy()
                 for r in range(ROWS):
                     band = mix(band + won.reshape(n, BANDS, ROWS)[:, :, r])

@@ -175,6 +175,20 @@ def test_near_duplicates(spark, odd, empty):
     assert neardup.one_of_each(odd).count() == odd.count() - 1
 
 
+def test_near_duplicates_with_repeated_passages(spark):
+    """Sets of equal or nearly equal shingles, a fifth of them repeated 300 times in one text."""
+    draw, rows = random.Random(12), []
+    for k in range(40):
+        passage, rest = prose(draw, 20, 10**6), prose(draw, 80, 10**6).split()
+        other = list(rest)
+        if k % 2:
+            other[40] = "changed"
+        rows += [(2 * k, " ".join([passage] * 2 + rest)), (2 * k + 1, " ".join([passage] * 300 + other))]
+    want = jaccard_classes(rows)
+    assert want == {i: i - i % 2 for i, _ in rows}
+    assert {r.doc_id: r.class_id for r in neardup.classes(table(spark, rows)).collect()} == want
+
+
 def line_dedup_by_hand(rows):
     from tests.llm.test_kernels import distance
 
