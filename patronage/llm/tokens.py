@@ -23,7 +23,8 @@ class Encoder:
 
     style "byte" is for byte-level BPE with the usual splitting pattern, "word" for lower-case BPE with word ends,
     "plain" for any other tokenizer. The first two split simple texts (Latin letters) as the tokenizer itself does and
-    remember the ids of each piece; unknown pieces go to the library together, other texts go to it whole.
+    remember the ids of each piece; unknown pieces go to the library together, other texts go to it whole, and so do texts
+    that hold an added token such as <|endoftext|>, which the library does not split.
     """
 
     def __init__(self, path: str, style: str, dtype: str = "<u2", remembered: int = REMEMBERED):
@@ -31,11 +32,12 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.style, self.dtype, self.remembered = style, np.dtype(dtype), remembered
         if self.library.get_vocab_size() > np.iinfo(self.dtype).max:
             raise ValueError(f"{dtype} is too narrow for {self.library.get_vocab_size()} ids")
         self.known: dict[str, bytes] = {}
+        # in lower case: a superset of the texts in which the library may find an added token
+        self.added = [t.content.lower() for t in self.library.get_added_tokens_decoder().values()]
         if style == "word":
             self.closes = np.zeros(self.library.get_vocab_size(), bool)
             for token, i in self.library.get_vocab().items():
@@ -71,8 +73,9 @@ class Encoder:
             return [self._whole(t or "") for t in texts]
         out: list = []
         for text in texts:
-            if text and _SIMPLE(text):
-                out.append(_BYTE_LEVEL(text) if self.style == "byte" else _WORD_LEVEL(text.lower()))
+            lowered = text.lower() if text else ""
+            if text and _SIMPLE(text) and not any(token in lowered for token in self.added):
+                out.append(_BYTE_LEVEL(text) if self.style == "byte" else _WORD_LEVEL(lowered))
             else:
                 out.append(self._whole(text) if text else b"")
         if len(self.known) > self.remembered:

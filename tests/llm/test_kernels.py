@@ -112,6 +112,17 @@ def test_encoder_equals_the_library(file, style):
         assert np.frombuffer(encode([text])[0], "<u2").tolist() == expected, text
 
 
+@pytest.mark.parametrize(("file", "style"), [("byte_bpe_50k.json", "byte"), ("word_bpe_49k.json", "word"), ("word_bpe_49k.json", "plain")])
+def test_encoder_equals_a_fresh_library_on_added_tokens(file, style):
+    from tokenizers import Tokenizer
+
+    library, encode = Tokenizer.from_file(tokenizer_path(file)), Encoder(tokenizer_path(file), style)
+    texts = ["abc <|endoftext|> def", "<|startoftext|><|endoftext|>", "a<|ENDOFTEXT|>b", "é日<|endoftext|>語", "<|endof", "text|>"] + TEXTS
+    expected = [library.encode(text or "", add_special_tokens=False).ids for text in texts]
+    assert [np.frombuffer(x, "<u2").tolist() for x in encode(texts)] == expected
+    assert [np.frombuffer(encode([x])[0], "<u2").tolist() for x in texts] == expected
+
+
 def test_encoder_refuses_ids_that_do_not_fit():
     with pytest.raises(ValueError):
         Encoder(tokenizer_path("byte_bpe_50k.json"), "byte", "<u1")
