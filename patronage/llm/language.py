@@ -23,8 +23,12 @@ from patronage.llm.textbytes import pick
 DIMENSIONS = 1024
 #: Documents that profiles are learned from, at most (a bounded, hash-chosen sample of the labelled rows).
 TRAINING_DOCUMENTS = 20_000
-#: The least cosine to the best prototype at which the pipeline takes a document to be in a known language.
+#: The least cosine to the best prototype at which the pipeline takes a document to be in a known language. A text of
+#: unknown trigrams has cosines of 0 with a deviation of 1 / sqrt(DIMENSIONS) = 0.03, whatever its length.
 LEAST_COSINE = 0.12
+#: Texts of fewer different trigrams can have a lower cosine in their own language too (it grows with their square root),
+#: so the cosine does not reject them: they stay where half of their letters or more are letters of the learned texts.
+FEW_GRAMS = 64
 UNKNOWN = "und"
 SLICE_CHARS = 1 << 18
 #: n-grams bound at a time: a bounded part of a slice's.
@@ -49,6 +53,13 @@ def letter_vector(code: int, dimensions: int) -> np.ndarray:
 
 def text_vectors(texts: list[str], dimensions: int = DIMENSIONS) -> tuple[np.ndarray, np.ndarray]:
     """Bundled trigram vectors of the texts, lower-cased, any run of non-letters one boundary; and their letters."""
+    vectors, letters, _ = bundled(texts, dimensions)
+    return vectors, letters
+
+
+def bundled(texts: list[str], dimensions: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Vectors and letters as in text_vectors, and how many trigrams each text has."""
+    texts = [f" {t} " for t in texts]
     joined = "".join(texts)
     codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     ends = np.cumsum([len(t) for t in texts])
@@ -65,11 +76,12 @@ def text_vectors(texts: list[str], dimensions: int = DIMENSIONS) -> tuple[np.nda
     owner = rows[keep]
     present, symbol = np.unique(symbols, return_inverse=True)
     if len(symbols) < 3:
-        return np.zeros((len(texts), dimensions), np.float32), letters
+        return np.zeros((len(texts), dimensions), np.float32), letters, np.zeros(len(texts), np.int64)
     size = len(present)
     gram = (symbol[:-2] * size + symbol[1:-1]) * size + symbol[2:]
     inside = (owner[:-2] == owner[2:]) & ~((symbols[:-2] == 0) & (symbols[1:-1] == 0) | (symbols[1:-1] == 0) & (symbols[2:] == 0))
     gram, owner = gram[inside], owner[:-2][inside]
+    times = np.bincount(owner, minlength=len(texts))
     if size**3 <= 1 << 22:
         seen = np.zeros(size**3, bool)
         seen[gram] = True
@@ -88,7 +100,7 @@ def text_vectors(texts: list[str], dimensions: int = DIMENSIONS) -> tuple[np.nda
         bound = third[part // size // size] * second[part // size % size] * letter[part % size]
         counts = np.bincount(owner[own].astype(np.int64) * len(part) + column[own] - first, minlength=len(texts) * len(part))
         vectors += counts.reshape(len(texts), len(part)).astype(np.float32) @ bound
-    return vectors, letters
+    return vectors, letters, times
 
 
 def slices(column: pa.Array, most: int = SLICE_CHARS) -> Iterator[tuple[int, list[str]]]:
@@ -115,23 +127,33 @@ class Profiles:
     languages: tuple[str, ...]
     prototypes: np.ndarray  # a unit vector for each language
     dimensions: int
+    letters: frozenset[str] = frozenset()  # of the learned texts
 
-    def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray]:
-        vectors, letters = text_vectors(texts, self.dimensions)
+    def predict(self, texts: list[str], least: float = LEAST_COSINE) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """Language and score of each text, and whether it is taken to be in a known language."""
+        vectors, letters, times = bundled(texts, self.dimensions)
         if not self.languages:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts))
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
         cosines = unit(vectors) @ self.prototypes.T
         best = cosines.argmax(1)
         score = np.clip(cosines[np.arange(len(texts)), best], 0, 1)
         known = letters > 0
-        return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known)], np.where(known, score, 0.0)
+        score = np.where(known, score, 0.0)
+        kept = known & (score >= least)
+        # different trigrams, by how far their vectors add up; a text that repeats a few has a few
+        different = times.astype(np.float64) ** 2 * self.dimensions / np.maximum(np.square(vectors, dtype=np.float64).sum(1), 1)
+        for k in np.flatnonzero(known & ~kept & (different < FEW_GRAMS)):
+            own = [c for c in texts[k] if c.isalpha()]
+            kept[k] = 2 * sum(c in self.letters for c in own) >= len(own)
+        return [self.languages[b] if k else UNKNOWN for b, k in zip(best, known)], score, kept
 
 
 def learn(documents: DataFrame, dimensions: int = DIMENSIONS, most: int = TRAINING_DOCUMENTS) -> Profiles:
     """Profiles of the languages of documents that are not held out and have a text and a language.
 
     Of n such documents about `most` are used, chosen by a hash of id and text. Tasks send one summed vector for each
-    language, so the driver gets languages x tasks vectors at most, added up by Spark first.
+    language and the letters they met, so the driver gets languages x tasks vectors at most, added up by Spark first, and
+    each letter once.
     """
     training = documents.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     n = documents.where(~held_out() & F.col("lang").isNotNull()).count()
@@ -140,10 +162,12 @@ def learn(documents: DataFrame, dimensions: int = DIMENSIONS, most: int = TRAINI
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
+        letters: set[str] = set()
         for batch in batches:
             langs = np.array(pick(batch.column(0)).to_pylist(), object)
             for first, texts in slices(pick(batch.column(1))):
                 vectors = unit(text_vectors(texts, dimensions)[0]).astype(np.float64)
+                letters.update(c for c in set().union(*texts) if c.isalpha())
                 own = langs[first : first + len(texts)]
                 for lang in set(own):
                     sums[lang] = sums.get(lang, 0) + vectors[own == lang].sum(0)
@@ -151,14 +175,20 @@ def learn(documents: DataFrame, dimensions: int = DIMENSIONS, most: int = TRAINI
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * dimensions), pa.array(np.arange(dimensions, dtype=np.int32)), pa.array(total)], ["lang", "k", "v"]
             )
+        codes = pa.array(sorted(map(ord, letters)), pa.int32())  # letters in rows without a language
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(codes), pa.string()), codes, pa.array(np.zeros(len(codes)))], ["lang", "k", "v"])
 
     summed = map_arrow(training.select("lang", "text"), bundle, "lang string, k int, v double").groupBy("lang", "k").agg(F.sum("v").alias("v"))
     prototypes: dict[str, np.ndarray] = {}
-    for lang, k, v in summed.collect():  # languages x dimensions numbers
+    letters: set[str] = set()
+    for lang, k, v in summed.collect():  # languages x dimensions numbers, and letters
+        if lang is None:
+            letters.add(chr(k))
+            continue
         prototypes.setdefault(lang, np.zeros(dimensions))[k] = round(v, 6)
     languages = tuple(sorted(prototypes))
     table = unit(np.array([prototypes[x] for x in languages])) if languages else np.zeros((0, dimensions))
-    return Profiles(languages, table.astype(np.float32), dimensions)
+    return Profiles(languages, table.astype(np.float32), dimensions, frozenset(letters))
 
 
 def predict(documents: DataFrame, profiles: Profiles) -> DataFrame:
@@ -166,6 +196,11 @@ def predict(documents: DataFrame, profiles: Profiles) -> DataFrame:
 
     Null texts and texts without a letter are `und` with score 0; with no profile all are. All rows and columns stay.
     """
+    return marked(documents, profiles, LEAST_COSINE).drop("_known")
+
+
+def marked(documents: DataFrame, profiles: Profiles, least: float) -> DataFrame:
+    """As predict, with a column _known: whether the document is taken to be in a known language."""
     shared = documents.sparkSession.sparkContext.broadcast(profiles)  # languages x dimensions floats
     kept = [c for c in documents.columns if c not in ("lang_pred", "lang_score")]
     documents = documents.select(*[F.col(f"`{c}`") for c in kept])
@@ -173,22 +208,25 @@ def predict(documents: DataFrame, profiles: Profiles) -> DataFrame:
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            langs, scores = [], []
+            langs, scores, known = [], [], []
             for _, texts in slices(pick(batch.column(at))):
-                lang, score = shared.value.predict(texts)
+                lang, score, kept = shared.value.predict(texts, least)
                 langs += lang
                 scores.append(score)
+                known += kept.tolist()
             score = np.concatenate(scores) if scores else np.zeros(0)
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(score.astype(np.float64))], [*batch.schema.names, "lang_pred", "lang_score"]
+                [*batch.columns, pa.array(langs, pa.string()), pa.array(score.astype(np.float64)), pa.array(known, pa.bool_())],
+                [*batch.schema.names, "lang_pred", "lang_score", "_known"],
             )
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
-    return map_arrow(documents, mark, f"{schema}, lang_pred string, lang_score double")
+    return map_arrow(documents, mark, f"{schema}, lang_pred string, lang_score double, _known boolean")
 
 
 def known_language(documents: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
-    """Drops documents without a letter and those that are close to no learned language; all columns stay."""
-    names = documents.columns
-    marked = predict(documents.withColumns({"_lang": F.col("lang")}), learn(documents))
-    return marked.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least)).select(*names)
+    """Drops documents without a letter and those that are close to no learned language; all columns stay.
+
+    A short text's cosine does not tell whether it is; such texts stay if they are in known letters (FEW_GRAMS).
+    """
+    return marked(documents, learn(documents), least).where("_known").select(*documents.columns)

@@ -338,6 +338,13 @@ def test_language(spark, odd, empty):
     assert language.known_language(extra).count() == 80
 
 
+def test_short_texts_in_known_letters_stay(spark):
+    rows = [(i, "the cat sat on the mat and the other thing", "en") for i in range(40)]
+    rows += [(100, "a", "en"), (101, "to", "en"), (102, "Moth.", "en"), (103, "Moth. " * 500, "en"), (104, "日本", None), (105, "日本語 " * 500, None)]
+    kept = language.known_language(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(r.doc_id for r in kept.where("doc_id >= 100").collect()) == [100, 101, 102, 103] and kept.where("doc_id < 100").count() == 40
+
+
 def test_repetition(spark, odd, empty):
     draw = random.Random(8)
     once = prose(draw, 60)
