@@ -41,7 +41,7 @@ PIVOTS = 4
 GROUP_SHINGLES, COMPARED_ROWS, COMPARED_COLUMNS = 1 << 16, 256, 512
 _STEP = 0x9E3779B97F4A7C15
 _ODD = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
-SIGNED = "doc_id long, u1 long, u2 long, bands array<long>, sketch binary"
+SIGNED = "doc_id long, text_key long, u1 long, u2 long, bands array<long>, sketch binary"
 SHINGLED = "u1 long, u2 long, shingles array<long>"
 
 
@@ -119,11 +119,11 @@ def _prepared(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarr
 
 
 def signatures(documents: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (null for texts without words), band hashes and register sketch of every text."""
+    """doc_id, text_key, fingerprint (null for texts without words), band hashes and register sketch of every text."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc_id = pick(batch.column(0))
+            doc_id, text_key = pick(batch.column(0)), pick(batch.column(2))
             for first, last, names, rows in _prepared(pick(batch.column(1))):
                 n = last - first
                 owner, key, _ = shingles(names, rows, n)
@@ -137,14 +137,14 @@ def signatures(documents: DataFrame) -> DataFrame:
                 offsets = np.arange(n + 1, dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        doc_id.slice(first, n), pa.array(print_[:, 0], mask=empty), pa.array(print_[:, 1], mask=empty),
+                        doc_id.slice(first, n), text_key.slice(first, n), pa.array(print_[:, 0], mask=empty), pa.array(print_[:, 1], mask=empty),
                         pa.ListArray.from_arrays(offsets * BANDS, pa.array(band.view(np.int64).ravel())),
                         pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets * (2 * REGISTERS)), pa.py_buffer(sketch.tobytes())]),
                     ],
-                    ["doc_id", "u1", "u2", "bands", "sketch"],
+                    ["doc_id", "text_key", "u1", "u2", "bands", "sketch"],
                 )
 
-    return map_arrow(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), sign, SIGNED)
+    return map_arrow(documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key")), sign, SIGNED)
 
 
 def shingle_sets(documents: DataFrame) -> DataFrame:
@@ -283,6 +283,12 @@ def classes(documents: DataFrame, least: float = LEAST) -> DataFrame:
     Null texts and texts without words are classes of their own. Repeated rows share a class. Rows with a null id are
     classed by their text; a class of such rows only has the id null. An empty table gives no rows.
     """
+    return text_classes(documents, least).select("doc_id", "class_id")
+
+
+def text_classes(documents: DataFrame, least: float) -> DataFrame:
+    """As classes, with text_key (xxhash64 of the text, which tells texts of one id apart) and the class itself, (g1, g2,
+    alone), g1 null for texts without words: two classes have one class_id where their texts share the id."""
     signed = written(signatures(documents), "signatures")
     single = signed.where(F.col("u1").isNotNull()).dropDuplicates(["u1", "u2"])
     exploded = single.select("u1", "u2", F.explode("bands").alias("band"))
@@ -314,23 +320,34 @@ def classes(documents: DataFrame, least: float = LEAST) -> DataFrame:
         labels = components(links.union(found))
 
     class_of = labels.join(nodes, "node").select("u1", "u2", "label")
-    classed = signed.select("doc_id", "u1", "u2").join(class_of, ["u1", "u2"], "left")
-    classed = classed.select("doc_id", F.coalesce("label", "u1").alias("g1"), F.when(F.col("label").isNull(), F.col("u2")).alias("g2"), F.col("label").isNull().alias("alone"))
+    classed = signed.select("doc_id", "text_key", "u1", "u2").join(class_of, ["u1", "u2"], "left")
+    classed = classed.select("doc_id", "text_key", F.coalesce("label", "u1").alias("g1"), F.when(F.col("label").isNull(), F.col("u2")).alias("g2"), F.col("label").isNull().alias("alone"))
     classed = written(classed, "classed")
     lowest = classed.where(F.col("g1").isNotNull()).groupBy("g1", "g2", "alone").agg(F.min("doc_id").alias("class_id"))
     same = (F.col("g1") == F.col("h1")) & F.col("g2").eqNullSafe(F.col("h2")) & (F.col("alone") == F.col("single"))
     lowest = lowest.select(F.col("g1").alias("h1"), F.col("g2").alias("h2"), F.col("alone").alias("single"), "class_id")
     joined = classed.join(lowest, same, "left")
-    return joined.select("doc_id", F.when(F.col("g1").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
+    class_id = F.when(F.col("g1").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")
+    return joined.select("doc_id", "text_key", "g1", "g2", "alone", class_id)
 
 
 def one_of_each(documents: DataFrame, least: float = LEAST) -> DataFrame:
-    """The documents with the least id of their class, each once; all columns stay. Rows without an id all stay."""
-    found = written(classes(documents, least), "classes")
-    losers = small_side(written(found.where("doc_id != class_id").select("doc_id").distinct(), "losers"))
-    kept = documents.join(losers, "doc_id", "left_anti")
-    repeated = written(found.where("doc_id = class_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    """The documents with the least id of their class, each once; all columns stay. Rows without an id all stay.
+
+    Different texts may share an id: each is judged by its own class, and one text of a class stays.
+    """
+    found = written(text_classes(documents, least), "classes")
+    keyed = documents.withColumn("_text_key", F.xxhash64("text"))
+    name = lambda frame: frame.select("doc_id", F.col("text_key").alias("_text_key"))
+    losers = small_side(written(name(found.where("doc_id != class_id")).distinct(), "losers"))
+    kept = keyed.join(losers, ["doc_id", "_text_key"], "left_anti")
+    best = found.where("doc_id = class_id")
+    repeated = written(best.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if repeated.isEmpty():
-        return kept
+        return kept.select(*documents.columns)
     repeated = small_side(repeated)
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    wordless = F.when(F.col("g1").isNull(), F.col("text_key"))
+    first = best.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "g1", "g2", "alone", wordless).agg(F.min("text_key").alias("text_key"))
+    first = small_side(written(name(first), "repeated-first"))
+    once = kept.join(first, ["doc_id", "_text_key"], "left_semi").dropDuplicates(["doc_id", "_text_key"])
+    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*documents.columns)

@@ -189,6 +189,14 @@ def test_near_duplicates_with_repeated_passages(spark):
     assert {r.doc_id: r.class_id for r in neardup.classes(table(spark, rows)).collect()} == want
 
 
+def test_different_texts_of_one_id_are_judged_each(spark):
+    draw = random.Random(13)
+    a, b, c, d = (prose(draw, 40, 10**6) for _ in range(4))
+    rows = [(1, a), (5, a), (5, b), (6, c), (6, d), (6, d), (6, d + "\n"), (7, c), (8, ""), (8, " "), (8, b)]
+    kept = sorted((r.doc_id, r.text.strip()) for r in neardup.one_of_each(table(spark, rows)).collect())
+    assert kept == sorted([(1, a), (5, b), (6, c), (6, d), (8, ""), (8, "")])
+
+
 def line_dedup_by_hand(rows):
     from tests.llm.test_kernels import distance
 
