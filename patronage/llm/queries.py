@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import decontaminate, language, linededup, neardup, packing, personal, quality, records, repetition, sharding
+from patronage.llm import decontaminate, language, linededup, neardup, packing, periodic, personal, quality, records, repetition, sharding
 from patronage.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_personal_data")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.report(read_table(spark, sf_dir, "documents"))
+
+
+def with_planted_runs(documents: DataFrame) -> DataFrame:
+    """doc_id and text, where the contract makes the words of every tenth document (by crc32 of its id) from some word on
+    repeat with some period. Rows without an id or a word stay as they are."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(code % 10 == 0, F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != ""))
+    cut = documents.select("doc_id", "text", F.floor(code / 10).alias("g"), words.alias("words"))
+    cut = cut.withColumn("n", F.coalesce(F.size("words"), F.lit(-1)))
+    cut = cut.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    cut = cut.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    again = F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int")))
+    made = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), F.slice(again, F.lit(1), rest)), " ")
+    return cut.select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.find_runs(with_planted_runs(read_table(spark, sf_dir, "documents"))))
