@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import decontaminate, language, linededup, neardup, packing, periodic, personal, quality, records, repetition, sharding
+from patronage.llm import bitsliced, decontaminate, language, linededup, neardup, packing, periodic, personal, quality, records, repetition, sharding
 from patronage.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,6 +89,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return personal.report(read_table(spark, sf_dir, "documents"))
 
 
+@query("op11_bit_sliced_top_k")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.top_rows(read_table(spark, sf_dir, "embeddings"), 100, 10)
+
+
 def with_planted_runs(documents: DataFrame) -> DataFrame:
     """doc_id and text, where the contract makes the words of every tenth document (by crc32 of its id) from some word on
     repeat with some period. Rows without an id or a word stay as they are."""

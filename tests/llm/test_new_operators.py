@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from patronage.llm import periodic
+from patronage.llm import bitsliced, periodic
 from patronage.llm.queries import QUERIES, with_planted_runs
 
 SCHEMA = "doc_id long, text string, runs string, start string, n string"
@@ -110,3 +110,76 @@ def test_periodic_query_equals_brute_force(spark, given):
     texts = with_planted_runs(spark.read.parquet(f"{path}/documents.parquet")).collect()
     assert sum(r.text != t for r, t in zip(sorted(texts, key=str), sorted((tuple(x) for x in rows), key=str), strict=True)) > 20
     assert sorted(" ".join(WORD.findall(r.text or "")) for r in texts) == sorted(" ".join(planted(i, t)) for i, t in rows)
+
+
+def plain_top(rows, every, k):
+    """rows of (vec_id, whole components); the same rows as the search, by row number."""
+    found = []
+    for i, (name, q) in enumerate(rows):
+        if name is None or name % every:
+            continue
+        others = [(-sum(a * b for a, b in zip(q, v, strict=True)), j_name is None, j_name or 0, j_name) for j, (j_name, v) in enumerate(rows) if j != i and len(v) == len(q)]
+        found += [(name, rank, o[3], -o[0]) for rank, o in enumerate(sorted(others, key=lambda o: o[:3])[:k], 1)]
+    return sorted(found, key=str)
+
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string, block string")
+
+
+def test_search_equals_brute_force_on_odd_rows(spark):
+    draw = random.Random(3)
+    rows = [(i, [draw.gauss(0, 0.125) for _ in range(24)]) for i in range(900)]
+    rows += [(1000 + i, rows[200][1]) for i in range(150)]  # one common vector: ties go by id
+    rows += [(300, rows[5][1]), (300, rows[300][1]), (None, rows[400][1]), (None, [0.5] * 24), (2000, [0.0] * 24)]  # repeated and null ids
+    rows += [(2100, [1.0, 2.0]), (2101, [3.0, -1.0]), (2200, []), (2201, [])]  # other lengths
+    bad = [(2300, None), (2400, [None] * 24), (2500, [float("nan")] * 24), (2600, [float("inf")] + [0.0] * 23), (2700, [0.1] * 23 + [None])]
+    frame = vectors(spark, [(i, v, "x", "y") for i, v in rows + bad]).repartition(3)
+    index = bitsliced.build_index(frame, block_rows=300)
+    got = bitsliced.search(index, bitsliced.index_queries(index, 100), 10, group_queries=4)
+    want = plain_top([(i, [int(np.floor(1024 * x)) for x in v]) for i, v in rows], 100, 10)
+    assert sorted((tuple(r) for r in got.collect()), key=str) == want
+    assert got.dtypes == [("query_id", "bigint"), ("rank", "int"), ("vec_id", "bigint"), ("score", "bigint")]
+    assert bitsliced.top_rows(vectors(spark, [])).count() == 0
+
+
+def test_large_components_are_exact_and_end_with_long(spark):
+    rows = [(0, [1e13, -3.0]), (1, [1e13, 2.0]), (2, [-1e13, 0.1]), (3, [1e300, 0.0]), (100, [2.0**40, 1.0])]
+    got = {(r.query_id, r.vec_id): r.score for r in bitsliced.top_rows(vectors(spark, [(*r, "x", "y") for r in rows])).collect()}
+    assert got[0, 1] == got[0, 3] == got[100, 1] == 2**63 - 1 and got[0, 2] == -(2**63)
+    small = {(r.query_id, r.vec_id): r.score for r in bitsliced.top_rows(vectors(spark, [(0, [2.0**20, 1.5], "x", "y"), (1, [2.0**20, -1.5], "x", "y")])).collect()}
+    assert small == {(0, 1): 2**60 - 1536 * 1536}
+
+
+@pytest.mark.parametrize("bits", [(2, 2), (6, 5), (11, 11)])
+def test_boundary_rows_hold_the_best(bits):
+    draw = np.random.default_rng(bits[0])
+    for dims, spread in ((1, 5), (7, 300), (64, 128), (64, 2**24)):
+        whole = np.rint(draw.normal(0, spread, (500, dims))).astype(np.int64)
+        block = bitsliced.slice_block(whole, bits[0])
+        for query in whole[:20]:
+            rows = bitsliced.packed(draw.random(500) < 0.9)
+            place = bitsliced.unpacked(rows, 500)
+            score = bitsliced.exact_scores(query, whole)[place]
+            best = place[np.lexsort((place, -score.astype(float)))[:10]]
+            held = bitsliced.unpacked(bitsliced.boundary_rows(query, rows, 10, block[0], block[1], block[3], block[4], bits[1]), 500)
+            least = np.sort(score)[-10]
+            assert set(place[score >= least]) <= set(held) <= set(place) and set(best) <= set(held)
+
+
+def test_slice_sums_equal_plain_sums():
+    draw = np.random.default_rng(1)
+    numbers = draw.integers(0, 1 << 9, (37, 200))
+    columns = {j: [bitsliced.packed((numbers >> j & 1).astype(bool))] for j in range(9)}
+    total = bitsliced.added(columns, 4)
+    plain = sum(np.unpackbits(s.view(np.uint8), bitorder="little")[:200].astype(int) << j for j, s in enumerate(total))
+    assert (plain == numbers.sum(0)).all()
+
+
+def test_top_k_query_equals_brute_force(spark):
+    import pyarrow.dataset as ds
+
+    held = ds.dataset("/root/testdata/sf0.001/embeddings.parquet").to_table().to_pylist()
+    rows = [(r["vec_id"], [int(np.floor(1024 * float(x))) for x in r["embedding"]]) for r in held]
+    got = QUERIES["op11_bit_sliced_top_k"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted((tuple(r) for r in got), key=str) == plain_top(rows, 100, 10)
