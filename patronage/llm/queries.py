@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm import bitsliced, decontaminate, language, linededup, neardup, packing, periodic, personal, quality, records, repetition, sharding
+from patronage.llm import bitsliced, decontaminate, language, linededup, neardup, packing, periodic, personal, quality, records, repetition, sharding, spelling
 from patronage.llm.common import held_out, read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -112,3 +112,8 @@ def with_planted_runs(documents: DataFrame) -> DataFrame:
 @query("op12_periodic_runs")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(periodic.find_runs(with_planted_runs(read_table(spark, sf_dir, "documents"))))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"), spelling.TYPO_EVERY)

@@ -8,7 +8,7 @@ import zlib
 import numpy as np
 import pytest
 
-from patronage.llm import bitsliced, periodic
+from patronage.llm import bitsliced, periodic, spelling
 from patronage.llm.queries import QUERIES, with_planted_runs
 
 SCHEMA = "doc_id long, text string, runs string, start string, n string"
@@ -183,3 +183,85 @@ def test_top_k_query_equals_brute_force(spark):
     rows = [(r["vec_id"], [int(np.floor(1024 * float(x))) for x in r["embedding"]]) for r in held]
     got = QUERIES["op11_bit_sliced_top_k"](spark, "/root/testdata/sf0.001").collect()
     assert sorted((tuple(r) for r in got), key=str) == plain_top(rows, 100, 10)
+
+
+def one_edit_apart(a, b):
+    """Word a is made of b, or b of a, by exactly one inserted, deleted or replaced letter."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    short, long = sorted((a, b), key=len)
+    return len(long) == len(short) + 1 and any(long[:i] + long[i + 1 :] == short for i in range(len(long)))
+
+
+def plain_variants(counts):
+    found, forms = {}, {}
+    for w, n in counts.items():
+        near = [(-m, v) for v, m in counts.items() if abs(len(v) - len(w)) <= 1 and one_edit_apart(v, w)]
+        best = min(near, default=None)
+        if best and -best[0] >= 5 * n:
+            forms[w] = best[1]
+        found[w] = (n, len(near))
+    rows = []
+    for w, (n, near) in found.items():
+        root = w
+        while root in forms:
+            root = forms[root]
+        rows.append((w, forms.get(w), root, n, near, counts.get(forms.get(w))))
+    return sorted(rows, key=str)
+
+
+VARIANT = ("word", "form", "root", "n", "n_near", "form_n")
+
+
+def variants_of(frame):
+    return sorted((tuple(r[c] for c in VARIANT) for r in frame.collect()), key=str)
+
+
+def test_variants_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(spelling, "CHUNK_WORDS", 16)
+    draw = random.Random(11)
+    words = {}
+    for _ in range(60):
+        word = "".join(draw.choice("aeiéstnrxÿ÷") for _ in range(draw.randrange(6, 10)))
+        for _ in range(draw.randrange(12)):
+            words[word] = draw.choice([5, 6, 7, 30, 30, 180, 1000, 40_000])
+            at, kind = draw.randrange(len(word)), draw.randrange(3)
+            word = word[:at] + draw.choice("aeiéstnrxÿ÷") * (kind > 0) + word[at + (kind < 2) :]
+            if len(word) < 6:
+                break
+    words |= {"long" * 3000: 5, "long" * 3000 + "a": 25, "long" * 2999 + "lang": 125, "anagram": 9, "anagarm": 99}
+    frame = spark.createDataFrame(list(words.items()), "word string, n long")
+    want = plain_variants(words)
+    assert variants_of(spelling.variant_groups(frame)) == want and sum(r[1] is not None and r[1] != r[2] for r in want) > 3
+    assert spelling.variant_groups(frame.limit(0)).count() == 0
+
+
+def test_neighbour_blocks_cover_every_edit():
+    draw = random.Random(2)
+    steps = set(spelling.neighbours())
+    key = lambda w: (len(w), *[sum(c in g for c in w) for g in spelling.LETTER_GROUPS])
+    for _ in range(2000):
+        a = "".join(draw.choice("aeiouytnhsrlbcdé") for _ in range(7))
+        at, kind = draw.randrange(7), draw.randrange(2)
+        b = a[:at] + draw.choice("aeiouytnhsrlbcdé") + a[at + kind :]
+        step = tuple(y - x for x, y in zip(key(a), key(b), strict=True))
+        assert (step in steps) + (tuple(-x for x in step) in steps) == (2 if not any(step) else 1)
+
+
+def test_spelling_query_equals_brute_force(spark, tmp_path):
+    draw = random.Random(9)
+    stock = ["".join(draw.choice("abdeéilmnorstÀ") for _ in range(draw.randrange(4, 11))) for _ in range(60)]
+    rows = [(i, " ".join(draw.choice(stock[: 1 + draw.randrange(60)]).capitalize() for _ in range(60)) + draw.choice([" ", "-", "9"])) for i in range(700)]
+    rows += [(None, " ".join(stock)), (None, None), (1, None), (2, ""), (3, " ".join(stock) * 30), (4, "x" * 30_000), (5, rows[5][1]), (5, rows[5][1])]
+    table(spark, rows).repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    counts = {}
+    for i, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = "".join(c.lower() if "A" <= c <= "Z" else c for c in run)
+            h = zlib.crc32(f"{i}:{run}".encode())
+            if i is not None and h % 199 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] = counts.get(run, 0) + 1
+    counts = {w: n for w, n in counts.items() if len(w) >= 6 and n >= 5}
+    want = plain_variants(counts)
+    assert variants_of(QUERIES["op13_spelling_variants"](spark, str(tmp_path))) == want and sum(r[1] is not None for r in want) > 10
