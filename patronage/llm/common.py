@@ -9,6 +9,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import patronage
 from patronage.session import workspace
@@ -92,7 +93,7 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
-def map_arrow(frame: DataFrame, function, schema: str) -> DataFrame:
+def map_arrow(frame: DataFrame, function, schema: str | T.StructType) -> DataFrame:
     """mapInArrow, with this package shipped to the executors."""
     ship(frame.sparkSession)
     return frame.mapInArrow(function, schema)

@@ -204,12 +204,19 @@ def line_dedup_by_hand(rows):
     first = {}
     for i, text in sorted(rows):
         for n, line in enumerate(text.split("\n")):
-            key = line.strip(strip).encode()
-            if len(key) >= linededup.LEAST_BYTES:
+            key = line.strip(strip)
+            if key:
                 first[key] = min(first.get(key, (i, n)), (i, n))
-    gone = {b for b in first for a in first if first[a] < first[b] and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2}
-    keep = lambda i, n, key: len(key) < linededup.LEAST_BYTES or first[key] == (i, n) and key not in gone
-    return {i: "\n".join(x for n, x in enumerate(t.split("\n")) if keep(i, n, x.strip(strip).encode())) for i, t in rows}
+    near = lambda a, b: a != b and min(len(a), len(b)) >= linededup.LEAST and abs(len(a) - len(b)) <= 2 and distance(a, b) <= 2
+    gone, links = set(), {}
+    for a in first:
+        for b in first:
+            if near(a, b):
+                links[first[a][0]] = links.get(first[a][0], 0) + 1
+                if first[b] < first[a]:
+                    gone.add(a)
+    keep = lambda i, n, key: not key or first[key] == (i, n) and key not in gone
+    return {i: ("\n".join(x for n, x in enumerate(t.split("\n")) if keep(i, n, x.strip(strip))), links.get(i, 0)) for i, t in rows}
 
 
 def test_line_dedup(spark, odd, empty):
@@ -221,13 +228,50 @@ def test_line_dedup(spark, odd, empty):
     for i in range(60):
         rows.append((i, "\n".join(edited(draw, draw.choice(stock), 3).decode() for _ in range(draw.randint(0, 6)))))
     done = linededup.dedup_lines(table(spark, rows).repartition(3))
-    assert {r.doc_id: r.text for r in done.collect()} == line_dedup_by_hand(rows)
+    assert {r.doc_id: (r.text, r.n_links) for r in done.collect()} == line_dedup_by_hand(rows)
     assert sorted(done.columns) == sorted([*table(spark, []).columns, "n_removed", "n_links"])
     assert linededup.dedup_lines(odd).count() == odd.count() and linededup.dedup_lines(empty).count() == 0
     kept = linededup.without_repeated_lines(table(spark, [(1, "the very same line of text"), (2, "the very same line of text"), (3, None), (4, "")]))
     assert sorted((r.doc_id, r.text) for r in kept.collect() if r.text) == [(1, "the very same line of text")] and kept.count() == 3
 
 
+def test_line_dedup_of_short_lines_and_other_scripts(spark):
+    draw = random.Random(4)
+    stock = ["".join(draw.choice("日本語の文字列aé") for _ in range(draw.choice([3, 6, 19, 20, 21, 22, 30]))) for _ in range(30)]
+    rows = []
+    for i in range(80):
+        made = []
+        for _ in range(draw.randint(0, 5)):
+            line = list(draw.choice(stock))
+            for _ in range(draw.randint(0, 3)):
+                line[draw.randrange(len(line))] = draw.choice("日本xy")
+            made.append(" " * draw.randint(0, 1) + "".join(line) + draw.choice(["", "\t"]))
+        rows.append((i, "\n".join([*made, ""])))
+    done = linededup.dedup_lines(table(spark, rows).repartition(3))
+    assert {r.doc_id: (r.text, r.n_links) for r in done.collect()} == line_dedup_by_hand(rows)
+
+
+def test_line_dedup_of_a_large_group(spark, monkeypatch):
+    monkeypatch.setattr(linededup, "KEY_LINES", 64)
+    monkeypatch.setattr(linededup, "COMPARED_PAIRS", 1000)
+    base = "a line that stands in very many documents with small changes"
+    rows = [(i, base[:k] + x + base[k:]) for i, (k, x) in enumerate((k, x) for k in range(len(base)) for x in "ABCDEFGHI")][:500]
+    done = linededup.dedup_lines(table(spark, rows))
+    # one letter put in each: any two are two edits apart at most
+    assert {r.doc_id: (r.text, r.n_links) for r in done.collect()} == {i: ("" if i else rows[0][1], 499) for i in range(500)}
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    names = "_doc string, _kept string, _had string, n_lines string, n_removed string, n_links string, row string, kept string, `a.b` string"
+    rows = [(i, t, 10, *[f"{c}{i}" for c in "abcdefghi"]) for i, t in enumerate(["one line\ntwo", "two\nthree", None, "two"])]
+    frame = spark.createDataFrame(rows, f"doc_id long, text string, n_chars int, {names}")
+    kept = linededup.without_repeated_lines(frame)
+    assert kept.schema.simpleString() == frame.schema.simpleString()
+    texts = {0: ("one line\ntwo", 10), 1: ("three", 5), 2: (None, 10)}
+    assert sorted(tuple(r) for r in kept.collect()) == [(i, *texts[i], *rows[i][3:]) for i in range(3)]
+    assert linededup.dedup_lines(frame).count() == 4
+
+
 def overlaps_by_hand(text, item):
     doc, words = (text or "").lower().split(), item.lower().split()
     m = len(words)
