@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 import tempfile
 import zipfile
 from pathlib import Path
@@ -42,33 +41,34 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def dealing(*order: str) -> Column:
+    """A number for each row that spreads a key's rows over buckets, rows equal in `order` as well. It counts rows inside
+    a task, so it must be written with the rows it is used for."""
+    return F.xxhash64(*order, F.monotonically_increasing_id())
+
+
 def rank_in_groups(
-    frame: DataFrame, key: str, order: list[str], into: str, rows_per_task: int = ROWS_PER_TASK
+    frame: DataFrame, key: str, order: list[str], into: str, deal: str = "_deal", rows_per_task: int = ROWS_PER_TASK
 ) -> DataFrame:
     """Adds a gapless rank from 0 within each `key`, however many rows one key holds.
 
-    A key's rows are dealt to buckets by a hash of `order`; ranks are taken inside (key, bucket) and lifted by the
-    rows of the key's earlier buckets, which come from a small count table. `order` should name the row; rows equal in
-    it share a bucket and get ranks in any order. `frame` is read twice, so it should be a written table or cheap.
+    `frame` is a written table with a column `deal` made by `dealing`, which is dropped. A key's rows are dealt to as many
+    buckets as their count asks for; ranks by `order` are taken inside (key, bucket) and lifted by the rows of the key's
+    earlier buckets, which come from a count table: a row for each `rows_per_task` rows and key.
     """
-    buckets = max(1, math.ceil(frame.count() / rows_per_task))
-    return ranked(frame, key, order, into, F.pmod(F.xxhash64(*order), F.lit(buckets)))
-
-
-def ranked(frame: DataFrame, key: str, order: list[str], into: str, bucket: Column) -> DataFrame:
-    """Ranks by (bucket, order) within each key; see rank_in_groups."""
-    dealt = frame.withColumn("_bucket", bucket)
+    sizes = frame.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / rows_per_task).alias("_buckets"))
+    sizes = small_side(written(sizes.withColumnRenamed(key, "_key"), "ranked-keys"))
+    dealt = frame.join(sizes, F.col(key).eqNullSafe(F.col("_key"))).withColumn("_bucket", F.pmod(F.col(deal), F.col("_buckets")))
     before = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     base = (
         dealt.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-        .select(key, "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+        .select(F.col(key).alias("_key"), "_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     )
-    inside = Window.partitionBy(key, "_bucket").orderBy(*order)
+    inside = Window.partitionBy(key, "_bucket").orderBy(*order, deal)
+    ranks = dealt.withColumn("_rank", F.row_number().over(inside) - 1).drop("_key", "_buckets").alias("r")
     return (
-        dealt.withColumn("_rank", F.row_number().over(inside) - 1)
-        .join(base, [key, "_bucket"])
-        .withColumn(into, F.col("_base") + F.col("_rank"))
-        .drop("_bucket", "_base", "_rank")
+        ranks.join(base.alias("b"), F.col(f"r.{key}").eqNullSafe(F.col("b._key")) & (F.col("r._bucket") == F.col("b._bucket")))
+        .select("r.*", (F.col("_base") + F.col("_rank")).alias(into)).drop("_bucket", "_rank", deal)
     )
 
 

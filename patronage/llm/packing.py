@@ -1,15 +1,18 @@
 """Best-fit packing of documents into sequences, planned on the counts of lengths.
 
 Lengths are whole numbers up to the capacity, so a table of how many pieces have each length (at most `capacity` rows)
-says all a packing needs. The plan is made on it: large lengths are sorted and cut into groups of equal cardinality,
-each rounded up to its largest; configurations of these few sizes are optimised by column generation; actual lengths
-take the places; what is left over and all small lengths go best-fit, longest first. A plan is a list of runs: so many
-sequences with the same content, each place taken by consecutive ranks among the pieces of its length. Pieces find their
-places by length and rank, in parallel; neither documents nor ids pass through the driver.
+says all a packing needs. The plan is made on it: a large length that is frequent is a group of its own, the others are
+sorted and cut into groups of equal cardinality, each rounded up to its largest; configurations of these few sizes are
+optimised by column generation; actual lengths take the places, and what is left over and all small lengths go best-fit,
+longest first. Rounding leaves gaps that no piece fills. So the sequences with the largest gaps are taken apart and their
+pieces placed best-fit again, a larger share of the sequences each time, until the plan is as good as best fit alone. A
+plan is a list of runs: so many sequences with the same content, each place taken by consecutive ranks among the pieces of
+its length. Pieces find their places by length and rank, in parallel; neither documents nor ids pass through the driver.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict
@@ -21,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronage.llm.common import map_arrow, rank_in_groups, written
+from patronage.llm.common import dealing, map_arrow, rank_in_groups, written
 from patronage.llm.textbytes import pick
 from patronage.llm.tokens import encoder
 
@@ -29,22 +32,21 @@ CAPACITY = 4096
 GROUPS = 32
 #: Lengths above this share of the capacity are large: at most 8 of them fit into a sequence.
 LARGE_SHARE = 1 / 8
+#: Shares of the sequences, those with most room, that are packed anew while best fit alone needs fewer. The last one is all.
+MENDED_SHARES = (1 / 64, 1 / 32, 1 / 16, 1 / 8, 1 / 4, 1 / 2, 1)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 ENCODE_ROWS = 128
 
 
 @dataclass
 class Run:
-    """So many equal sequences: room left, and the places as (length, first rank)."""
+    """So many equal sequences: room left, the lengths in them, and when numbered the places as (length, first rank)."""
 
     count: int
     room: int
+    sizes: list[int] = field(default_factory=list)
     places: list[tuple[int, int]] = field(default_factory=list)
 
-    def split(self, n: int) -> tuple["Run", "Run"]:
-        rest = Run(self.count - n, self.room, [(size, rank + n) for size, rank in self.places])
-        return Run(n, self.room, list(self.places)), rest
-
 
 def best_configuration(sizes: np.ndarray, values: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """The multiset of sizes that fits and is worth most; every size takes over an eighth of the capacity."""
@@ -98,20 +100,44 @@ def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds:
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY, groups: int = GROUPS) -> list[Run]:
-    """The fewest sequences of two plans: linear grouping with `groups` groups, or with none (best fit
-    alone), which is better where lengths are spread evenly and rounding up costs more than configurations save."""
-    plans = [grouped_plan(counts, capacity, g) for g in (groups, 0)]
-    return min(plans, key=lambda runs: sum(run.count for run in runs))
+    """Runs that hold every piece, counts[length] of each length, with ranks from 0 in `places`: the linear grouping plan,
+    mended until it has no more sequences than best fit alone."""
+    if any(not 0 < size <= capacity for size, n in counts.items() if n > 0):
+        raise ValueError("a piece is longer than a sequence")
+    runs = mended(grouped_plan(counts, capacity, groups), total(best_fit([], counts, capacity)), capacity)
+    next_rank: dict[int, int] = defaultdict(int)
+    for run in runs:
+        for size in run.sizes:
+            run.places.append((size, next_rank[size]))
+            next_rank[size] += run.count
+    return runs
 
 
-def grouped_plan(counts: dict[int, int], capacity: int, groups: int) -> list[Run]:
-    """Runs that hold every piece: counts[length] pieces of each length, with ranks from 0."""
-    next_rank: dict[int, int] = defaultdict(int)
-    left = {size: n for size, n in counts.items() if n > 0}
-    if any(not 0 < size <= capacity for size in left):
-        raise ValueError("a piece is longer than a sequence")
-    done = [Run(left.pop(capacity), 0, [(capacity, 0)])] if capacity in left else []
-    large = sorted((s for s in left if s > capacity * LARGE_SHARE), reverse=True) if groups else []
+def total(runs: list[Run]) -> int:
+    return sum(run.count for run in runs)
+
+
+def mended(runs: list[Run], most: int, capacity: int) -> list[Run]:
+    """The plan with its worst filled sequences packed anew, in growing shares, until there are at most `most`."""
+    for share in MENDED_SHARES:
+        if total(runs) <= most:
+            break
+        left, kept, pieces = math.ceil(share * total(runs)), [], defaultdict(int)
+        for run in sorted(runs, key=lambda r: (-r.room, -len(r.sizes))):  # full ones with many small pieces fill gaps
+            gone = min(run.count, left)
+            left -= gone
+            for size in run.sizes if gone else ():
+                pieces[size] += gone
+            if run.count > gone:
+                kept.append(Run(run.count - gone, run.room, list(run.sizes)))
+        again = best_fit(kept, pieces, capacity)
+        runs = min(runs, again, key=total)
+    return runs
+
+
+def best_fit(runs: list[Run], counts: dict[int, int], capacity: int) -> list[Run]:
+    """The runs with the pieces added, longest first, each where the least room is left; new runs where it fits nowhere."""
+    done: list[Run] = []
     by_room: dict[int, list[Run]] = defaultdict(list)
     rooms: list[int] = []
 
@@ -124,82 +150,87 @@ def grouped_plan(counts: dict[int, int], capacity: int, groups: int) -> list[Run
             insort(rooms, run.room)
         by_room[run.room].append(run)
 
-    total = sum(left[s] for s in large)
-    if total:
-        cuts = [round(total * i / groups) for i in range(1, groups + 1)]
-        members: list[list[list[int]]] = [[] for _ in range(groups)]  # of each group: [length, pieces], longest first
-        at = g = 0
-        for size in large:
-            n = left[size]
-            while n:
-                while cuts[g] <= at:
-                    g += 1
-                take = min(n, cuts[g] - at)
-                members[g].append([size, take])
-                at, n = at + take, n - take
-        members = [m for m in members if m]
-        merged: dict[int, list[list[int]]] = defaultdict(list)  # groups rounded up to one size are one
-        for m in members:
-            merged[m[0][0]] += m
-        sizes = np.array(sorted(merged, reverse=True))
-        demand = np.array([sum(n for _, n in merged[s]) for s in sizes])
-        for pattern, n in configurations(sizes, demand, capacity):
-            places = [merged[int(s)] for s, k in zip(sizes, pattern) for _ in range(k)]
-            # each place takes the next n actual pieces of its group; cut where any of them changes length
-            chosen: list[list[tuple[int, int]]] = []
-            for stock in places:
-                parts, need = [], n
-                while need:
-                    take = min(need, stock[0][1])
-                    parts.append((stock[0][0], take))
-                    stock[0][1] -= take
-                    need -= take
-                    if not stock[0][1]:
-                        stock.pop(0)
-                chosen.append(parts)
-            edges = sorted({e for parts in chosen for e in np.cumsum([k for _, k in parts]).tolist()})
-            first = 0
-            state = [iter(p) for p in chosen]
-            current = [list(next(s)) for s in state]
-            for edge in edges:
-                step = edge - first
-                run = Run(step, capacity)
-                for i in range(len(current)):
-                    size = current[i][0]
-                    run.places.append((size, next_rank[size]))
-                    next_rank[size] += step
-                    run.room -= size
-                    current[i][1] -= step
-                    if not current[i][1] and edge < n:
-                        current[i] = list(next(state[i]))
-                put(run)
-                first = edge
-    for size in sorted(left, reverse=True):  # best fit for all that has no place yet
-        n = left[size] - next_rank[size]
-        while n:
+    for run in runs:
+        put(run)
+    for size in sorted(counts, reverse=True):
+        n = counts[size]
+        while n > 0:
             k = bisect_left(rooms, size)
             if k == len(rooms):
                 each = min(capacity // size, n)
                 run = Run(n // each, capacity)
             else:
                 room = rooms[k]
-                stock = by_room[room]
-                run = stock.pop()
-                if not stock:
+                run = by_room[room].pop()
+                if not by_room[room]:
                     rooms.pop(k)
                 each = min(room // size, n)
                 if run.count > n // each:
-                    run, rest = run.split(n // each)
-                    put(rest)
-            for _ in range(each):
-                run.places.append((size, next_rank[size]))
-                next_rank[size] += run.count
+                    put(Run(run.count - n // each, run.room, list(run.sizes)))
+                    run = Run(n // each, run.room, list(run.sizes))
+            run.sizes += [size] * each
             run.room -= each * size
             n -= each * run.count
             put(run)
     return done + [run for room in rooms for run in by_room[room]]
 
 
+def linear_groups(large: dict[int, int], groups: int) -> dict[int, list[list[int]]]:
+    """Groups by the size they are rounded up to, as [length, pieces], longest first: a length that fills a group is one
+    by itself, the others are cut into groups of equal cardinality."""
+    share = sum(large.values()) / groups
+    found = {size: [[size, n]] for size, n in large.items() if n >= share}
+    others = sorted((size for size in large if size not in found), reverse=True)
+    count, at, group = sum(large[size] for size in others), 0, 0
+    cuts = [round(count * i / groups) for i in range(1, groups + 1)]
+    for size in others:
+        n = large[size]
+        while n:
+            while cuts[group] <= at:
+                group += 1
+            take = min(n, cuts[group] - at)
+            if at in (0, cuts[group - 1]) or not found:
+                top = size
+            found.setdefault(top, []).append([size, take])
+            at, n = at + take, n - take
+    return found
+
+
+def grouped_plan(counts: dict[int, int], capacity: int, groups: int) -> list[Run]:
+    """Linear grouping: configurations of rounded large lengths, taken by actual ones, then best fit for all the rest."""
+    left = {size: n for size, n in counts.items() if n > 0}
+    large = {size: n for size, n in left.items() if capacity * LARGE_SHARE < size < capacity}
+    runs: list[Run] = []
+    if large:
+        members = linear_groups(large, groups)
+        sizes = np.array(sorted(members, reverse=True))
+        demand = np.array([sum(n for _, n in members[s]) for s in sizes])
+        for pattern, n in configurations(sizes, demand, capacity):
+            chosen: list[list[list[int]]] = []  # of each place, the actual lengths that take it in turn
+            for stock in [members[int(s)] for s, k in zip(sizes, pattern) for _ in range(k)]:
+                parts, need = [], n
+                while need:
+                    take = min(need, stock[0][1])
+                    parts.append([stock[0][0], take])
+                    stock[0][1] -= take
+                    need -= take
+                    if not stock[0][1]:
+                        stock.pop(0)
+                chosen.append(parts)
+            while chosen and chosen[0]:  # as many equal sequences as no place changes its length
+                step = min(parts[0][1] for parts in chosen)
+                own = [parts[0][0] for parts in chosen]
+                runs.append(Run(step, capacity - sum(own), own))
+                for parts in chosen:
+                    parts[0][1] -= step
+                    if not parts[0][1]:
+                        parts.pop(0)
+    for run in runs:
+        for size in run.sizes:
+            left[size] -= run.count
+    return best_fit(runs, left, capacity)
+
+
 def places(runs: list[Run]) -> dict[int, np.ndarray]:
     """For each length, rows of (first rank, sequence id of it, offset), sorted by rank."""
     found: dict[int, list[tuple[int, int, int]]] = defaultdict(list)
@@ -215,7 +246,8 @@ def places(runs: list[Run]) -> dict[int, np.ndarray]:
 
 def cut_documents(documents: DataFrame, tokenizer: str, style: str, end_id: int, capacity: int = CAPACITY, width: int = 2) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32: documents longer than the capacity are cut into pieces of it, others
-    are one piece. A null text is empty: one piece with the end id alone."""
+    are one piece. A null text is empty: one piece with the end id alone. Equal rows and rows without an id are documents
+    of their own. Only doc_id and text are read. A text is encoded as a whole, so its ids must fit into a worker's memory."""
     end = int(end_id).to_bytes(width, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -236,11 +268,14 @@ def cut_documents(documents: DataFrame, tokenizer: str, style: str, end_id: int,
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> DataFrame:
-    """Adds sequence_id and offset to a written table of pieces with a `length`; rows equal in doc_id and piece get
-    places of their own, an empty table gives no rows."""
+    """Adds sequence_id and offset to a written table of pieces with a `length` and a `_deal` (see dealing), which goes.
+
+    Rows equal in doc_id and piece, or with a null doc_id, get places of their own; an empty table gives no rows. The table's
+    other columns stay, but none may be named sequence_id, offset or begin with an underscore."""
     lengths = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     found = places(plan(lengths, capacity, groups))
-    names = [*pieces.columns, "sequence_id", "offset"]
+    fields = [f for f in pieces.schema if f.name != "_deal"]
+    names = [*[f.name for f in fields], "sequence_id", "offset"]
     ranked = rank_in_groups(pieces, "length", ["doc_id", "piece"], "_place")
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,10 +290,12 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, groups: int = GROUPS) -> D
             columns = [batch.column(c) for c in names[:-2]]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence), pa.array(offset)], names)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema) + ", sequence_id long, offset long"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", sequence_id long, offset long"
     return map_arrow(ranked, place, schema)
 
 
 def pack_documents(documents: DataFrame, tokenizer: str, style: str, end_id: int, capacity: int = CAPACITY) -> DataFrame:
-    pieces = written(cut_documents(documents, tokenizer, style, end_id, capacity), "pieces")
+    """The pieces of all documents with their places; see cut_documents and pack."""
+    pieces = cut_documents(documents, tokenizer, style, end_id, capacity)
+    pieces = written(pieces.withColumn("_deal", dealing("doc_id", "piece")), "pieces")
     return pack(pieces, capacity)

@@ -13,7 +13,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from patronage.llm.common import rank_in_groups
+from patronage.llm.common import dealing, rank_in_groups, written
 
 #: Bits of the draw's hash: 13 hex digits of md5, exact in a double.
 HEX_DIGITS = 13
@@ -94,8 +94,9 @@ def shard_documents(documents: DataFrame, root: Node) -> DataFrame:
         F.lit("key").alias("law"),
         shard_of(doc_id, root).cast("int").alias("shard"),
         shard_of(doc_id, grow(root)).cast("int").alias("grown_shard"),
+        dealing("doc_id", "text").alias("_deal"),
     )
-    ranked = rank_in_groups(placed, "shard", ["doc_id"], "slot")
+    ranked = rank_in_groups(written(placed, "placed"), "shard", ["doc_id"], "slot")
     return ranked.select(
         "doc_id", "size", "text_crc32", "law", "shard", F.col("slot").cast("long").alias("slot"), "grown_shard"
     )

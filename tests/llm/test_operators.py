@@ -457,3 +457,32 @@ def test_near_duplicate_blocks(spark, monkeypatch):
     for size in (1 << 16, 700):
         monkeypatch.setattr(neardup, "GROUP_SHINGLES", size)
         assert {(r.a, r.b) for r in neardup.compared(members, shingles).collect()} == want and want
+
+
+def test_ranks_split_a_key_of_equal_rows(spark):
+    from pyspark.sql import functions as F
+
+    from patronage.llm.common import dealing, rank_in_groups, written
+
+    rows = spark.range(30_000).select(F.when(F.col("id") < 20_000, 7).alias("k"), F.lit(None).cast("long").alias("doc_id"), dealing("doc_id").alias("_deal"))
+    ranked = rank_in_groups(written(rows, "test"), "k", ["doc_id"], "place", rows_per_task=500)
+    for key, n in ((7, 20_000), (None, 10_000)):
+        found = ranked.where(F.col("k").eqNullSafe(F.lit(key))).agg(F.count_distinct("place"), F.min("place"), F.max("place")).first()
+        assert tuple(found) == (n, 0, n - 1)
+    assert ranked.columns == ["k", "doc_id", "place"]
+    dealt = written(rows, "test").where("k = 7").withColumn("b", F.pmod("_deal", F.lit(40)))  # equal rows, some 500 a bucket
+    assert dealt.groupBy("b").count().agg(F.max("count")).first()[0] < 700
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_packing_plan_is_the_grouping_one_and_no_larger_than_best_fit(seed):
+    draw = random.Random(seed)
+    counts = {}
+    for _ in range(4000):
+        size = min(4095, int(draw.lognormvariate(6, 1.2)) + 2)
+        counts[size] = counts.get(size, 0) + draw.choice([1, 1, 5])
+    best = packing.total(packing.best_fit([], counts, 4096))
+    grouped = packing.grouped_plan(counts, 4096, 32)
+    assert packing.total(packing.plan(counts)) <= best <= packing.total(grouped) * 1.02
+    kept = {tuple(sorted(r.sizes)) for r in packing.plan(counts)}
+    assert sum(tuple(sorted(r.sizes)) in kept for r in grouped) > len(grouped) / 4
