@@ -1,14 +1,14 @@
 """Near-duplicate documents by ProbMinHash, banding and exact verification.
 
-A document's shingles are five lower-case words between ASCII white space; all words where there are fewer. Each
-shingle sends arrivals of a Poisson process with its weight as rate to random registers; a register keeps the shingle
-that came first. Two documents agree in a register with their probability Jaccard similarity. Links are decided on sets,
-so every shingle weighs 1, however often it is repeated: the probability is then the sets' Jaccard similarity itself. A
-document's process ends when no later arrival can win: about `registers` x ln(`registers`) arrivals instead of
-shingles x registers.
+A document's shingles are five lower-case words between ASCII white space; all words where there are fewer. A shingle
+that a text holds c times weighs 1 + ln(c). It sends arrivals of a Poisson process with its weight as rate to random
+registers; a register keeps the shingle that came first. Two documents agree in a register with the probability Jaccard
+similarity of their weighted shingles: the sum over common shingles i of 1 / sum over j of max(x_j / x_i, y_j / y_i). Without
+repeated shingles that is the sets' Jaccard similarity. A document's process ends when no later arrival can win: about
+`registers` x ln(`registers`) arrivals instead of shingles x registers.
 
 Equal word sequences are one text. Texts that agree in all registers of a band are candidates; a link is a pair whose
-shingle sets have Jaccard similarity of `least` or more, and a class is a connected component of links. Pairs in a band's
+weighted shingles have probability Jaccard similarity of `least` or more, worked out exactly, and a class is a connected component of links. Pairs in a band's
 bucket are not written out: one pivot is compared with the bucket's other texts first, then four more with the texts that
 are still in other classes. Where a bucket still holds several classes, its texts are compared across classes in blocks
 inside tasks, by matrices of their shingles, and only links leave a task. So every link between candidates counts, and a
@@ -32,8 +32,8 @@ SHINGLE = 5
 LEAST = 0.8
 BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
-#: Candidates whose registers agree less than this are not verified. Registers agree with the sets' Jaccard similarity, so
-#: at 0.8 this is six standard deviations below, whatever is repeated: a pair is lost with probability 2e-9.
+#: Candidates whose registers agree less than this are not verified. Registers agree with the similarity itself, so at 0.8
+#: this is six standard deviations below: a pair is lost with probability 2e-9, less than the 3e-6 of missing all bands.
 LEAST_ESTIMATE = 0.6
 #: Pivots of a mixed bucket, on average; all members of buckets with no more.
 PIVOTS = 4
@@ -42,7 +42,7 @@ GROUP_SHINGLES, COMPARED_ROWS, COMPARED_COLUMNS = 1 << 16, 256, 512
 _STEP = 0x9E3779B97F4A7C15
 _ODD = (0xD1342543DE82EF95, 0xAF251AF3B0F025B5)
 SIGNED = "doc_id long, text_key long, u1 long, u2 long, bands array<long>, sketch binary"
-SHINGLED = "u1 long, u2 long, shingles array<long>"
+SHINGLED = "u1 long, u2 long, shingles array<long>, weights array<double>"
 
 
 def fingerprints(names: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
@@ -85,6 +85,26 @@ def shingles(names: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, n
     return owner[at], key[at], np.diff(np.append(at, len(key)))
 
 
+def weights_of(count: np.ndarray) -> np.ndarray:
+    return 1 + np.log(count)
+
+
+def probability_jaccard(a: np.ndarray, x: np.ndarray | None, b: np.ndarray, y: np.ndarray | None) -> float:
+    """Of two sorted lists of distinct shingles with weights (None: all 1)."""
+    _, i, j = np.intersect1d(a, b, assume_unique=True, return_indices=True)
+    if not len(i):
+        return 0.0
+    if x is None and y is None:
+        return len(i) / (len(a) + len(b) - len(i))
+    x, y = np.ones(len(a)) if x is None else x, np.ones(len(b)) if y is None else y
+    p, q = x[i], y[j]
+    order = np.argsort(q / p, kind="stable")  # where x_j / y_j is larger, x_j / x_i is the larger of the two
+    p, q = p[order], q[order]
+    by_x, by_y = np.cumsum(p), np.cumsum(q)
+    both = by_x / p + (by_y[-1] - by_y) / q
+    return float((1 / (both + (x.sum() - by_x[-1]) / p + (y.sum() - by_y[-1]) / q)).sum())
+
+
 def registers(owner: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int, m: int = REGISTERS) -> np.ndarray:
     """The shingle that arrives first in each of a row's m registers; 0 in rows without shingles."""
     first = np.full(n * m, np.inf)
@@ -126,8 +146,8 @@ def signatures(documents: DataFrame) -> DataFrame:
             doc_id, text_key = pick(batch.column(0)), pick(batch.column(2))
             for first, last, names, rows in _prepared(pick(batch.column(1))):
                 n = last - first
-                owner, key, _ = shingles(names, rows, n)
-                won = registers(owner, key, np.ones(len(key)), n)
+                owner, key, count = shingles(names, rows, n)
+                won = registers(owner, key, weights_of(count), n)
                 band = np.broadcast_to(np.arange(1, BANDS + 1, dtype=np.uint64), (n, BANDS)).copy()
                 for r in range(ROWS):
                     band = mix(band + won.reshape(n, BANDS, ROWS)[:, :, r])
@@ -148,17 +168,21 @@ def signatures(documents: DataFrame) -> DataFrame:
 
 
 def shingle_sets(documents: DataFrame) -> DataFrame:
-    """Fingerprint and sorted distinct shingle hashes of every text."""
+    """Fingerprint, sorted distinct shingle hashes and their weights (null where all are 1) of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for first, last, names, rows in _prepared(pick(batch.column(0))):
                 n = last - first
-                owner, key, _ = shingles(names, rows, n)
+                owner, key, count = shingles(names, rows, n)
                 print_ = fingerprints(names, rows, n).view(np.int64)
                 offsets = np.append(0, np.cumsum(per_row(owner, n))).astype(np.int32)
                 sets = pa.ListArray.from_arrays(offsets, pa.array(key.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(print_[:, 0]), pa.array(print_[:, 1]), sets], ["u1", "u2", "shingles"])
+                repeated = np.zeros(n, bool)
+                repeated[owner[count > 1]] = True
+                some = np.append(0, np.cumsum(per_row(owner, n) * repeated)).astype(np.int32)
+                weights = pa.ListArray.from_arrays(some, pa.array(weights_of(count)[repeated[owner]]), mask=pa.array(~repeated))
+                yield pa.RecordBatch.from_arrays([pa.array(print_[:, 0]), pa.array(print_[:, 1]), sets, weights], ["u1", "u2", "shingles", "weights"])
 
     return map_arrow(documents.select("text"), run, SHINGLED)
 
@@ -178,12 +202,27 @@ def likely(pairs: DataFrame, sketches: DataFrame, least: float = LEAST_ESTIMATE)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFrame:
-    """Pairs whose shingle sets have this Jaccard similarity or more."""
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    """Pairs whose weighted shingles have this similarity or more. Pairs without repeated shingles are compared as sets by
+    SQL expressions, the others in tasks."""
+    flag = lambda n: sets.select(F.col("node").alias(n), F.col("weights").isNull().alias(f"{n}_plain"))
+    flagged = pairs.join(flag("a"), "a").join(flag("b"), "b").select("a", "b", (F.col("a_plain") & F.col("b_plain")).alias("plain"))
+    flagged = written(flagged, "flagged-pairs")
+    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("weights").alias("wa"))
+    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("weights").alias("wb"))
     shared = F.size(F.array_intersect("sa", "sb"))
-    joined = pairs.join(one, "a").join(two, "b")
-    return joined.where(shared >= least * (F.size("sa") + F.size("sb") - shared) - 1e-9).select("a", "b")
+    plain = flagged.where("plain").join(one.drop("wa"), "a").join(two.drop("wb"), "b")
+    sets_near = plain.where(shared >= least * (F.size("sa") + F.size("sb") - shared) - 1e-9).select("a", "b")
+    heavy = flagged.where("NOT plain").join(one, "a").join(two, "b").select("a", "b", "sa", "wa", "sb", "wb")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [
+                probability_jaccard(*(None if c[k].as_py() is None else c[k].values.to_numpy() for c in batch.columns[2:])) >= least - 1e-9
+                for k in range(batch.num_rows)
+            ]
+            yield pa.RecordBatch.from_arrays([c.filter(pa.array(near, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
+
+    return sets_near.union(map_arrow(heavy, compare, "a long, b long"))
 
 
 def mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
@@ -193,13 +232,21 @@ def mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     return labelled.join(bands.select("band"), "band")
 
 
-def overlaps(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+def overlaps(
+    sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, least: float, weights: list[np.ndarray | None] | None = None
+) -> tuple[np.ndarray, np.ndarray]:
     """Places (a, b) of linked sets with different labels. Sets of side 0 are compared with those of side 1; where there
-    is no side 1, with each other. The most frequent label's sets are not compared among themselves."""
+    is no side 1, with each other. The most frequent label's sets are not compared among themselves.
+
+    A pair's similarity is at most the share of either text's weight that lies on common shingles; where shingles repeat,
+    matrices give these shares, and pairs that both allow are worked out one by one."""
+    if weights is not None and all(w is None for w in weights):
+        weights = None
     known, times = np.unique(label, return_counts=True)
     size = np.array([len(x) for x in sets])
     token = np.concatenate(sets)
     holder = np.repeat(np.arange(len(sets)), size)
+    part_of = None if weights is None else np.concatenate([np.full(len(x), 1 / max(len(x), 1)) if w is None else w / w.sum() for x, w in zip(sets, weights, strict=True)])
     names, column, held = np.unique(token, return_inverse=True, return_counts=True)
     often = held > 1  # a shingle that one set holds is in no overlap
     place = np.cumsum(often) - 1
@@ -207,6 +254,8 @@ def overlaps(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, least:
     holder, column, width = holder[keep], place[column[keep]], int(often.sum())
     order = np.argsort(column, kind="stable")
     holder, column = holder[order], column[order]
+    if part_of is not None:
+        part_of = part_of[keep][order]
     one, two = (np.flatnonzero(side == 0), np.flatnonzero(side == 1)) if side.any() else (np.arange(len(sets)),) * 2
     most = label == known[times.argmax()]
     found = []
@@ -216,6 +265,7 @@ def overlaps(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, least:
             row_of, col_of = np.full(len(sets), -1), np.full(len(sets), -1)
             row_of[part], col_of[cols] = np.arange(len(part)), np.arange(len(cols))
             shared = np.zeros((len(part), len(cols)), np.float32)
+            shares = [np.zeros_like(shared) for _ in range(2 * (part_of is not None))]
             for low in range(0, width, COMPARED_COLUMNS):
                 cut = slice(*np.searchsorted(column, (low, low + COMPARED_COLUMNS)))
                 h, c = holder[cut], column[cut] - low
@@ -224,10 +274,23 @@ def overlaps(sets: list[np.ndarray], label: np.ndarray, side: np.ndarray, least:
                 left[row_of[h][row_of[h] >= 0], c[row_of[h] >= 0]] = 1
                 right[col_of[h][col_of[h] >= 0], c[col_of[h] >= 0]] = 1
                 shared += left @ right.T
-            near = shared >= least * (size[part][:, None] + size[cols][None, :] - shared) - 1e-9
+                if part_of is not None:
+                    heavy_left, heavy_right, own = np.zeros_like(left), np.zeros_like(right), part_of[cut]
+                    heavy_left[row_of[h][row_of[h] >= 0], c[row_of[h] >= 0]] = own[row_of[h] >= 0]
+                    heavy_right[col_of[h][col_of[h] >= 0], c[col_of[h] >= 0]] = own[col_of[h] >= 0]
+                    shares[0] += heavy_left @ right.T
+                    shares[1] += left @ heavy_right.T
+            if part_of is None:
+                near = shared >= least * (size[part][:, None] + size[cols][None, :] - shared) - 1e-9
+            else:
+                near = np.minimum(*shares) >= least - 1e-3
             near &= label[part][:, None] != label[cols][None, :]
             a, b = np.nonzero(near)
-            found.append((part[a], cols[b]))
+            a, b = part[a], cols[b]
+            if weights is not None:
+                exact = [probability_jaccard(sets[x], weights[x], sets[y], weights[y]) >= least - 1e-9 for x, y in zip(a, b, strict=True)]
+                a, b = a[np.array(exact, bool)], b[np.array(exact, bool)]
+            found.append((a, b))
     if not found:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate([a for a, _ in found]), np.concatenate([b for _, b in found])
@@ -239,11 +302,11 @@ def compared(members: DataFrame, sets: DataFrame, least: float = LEAST) -> DataF
     A bucket's members are dealt to groups of about GROUP_SHINGLES shingles, and a task compares two groups at a time by
     their shingles; only links leave it.
     """
-    members = written(members.join(sets, "node").select("band", "node", "label", "shingles"), "mixed-shingles")
+    members = written(members.join(sets, "node").select("band", "node", "label", "shingles", "weights"), "mixed-shingles")
     groups = members.groupBy("band").agg(F.ceil(F.sum(F.size("shingles")) / GROUP_SHINGLES).cast("int").alias("groups"))
     dealt = members.join(groups, "band").withColumn("own", F.pmod(F.xxhash64("node"), F.col("groups")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)))
-    dealt = dealt.select("band", F.least("own", "other").alias("g"), F.greatest("own", "other").alias("h"), "own", "node", "label", "shingles")
+    dealt = dealt.select("band", F.least("own", "other").alias("g"), F.greatest("own", "other").alias("h"), "own", "node", "label", "shingles", "weights")
 
     def link(table: pa.Table) -> pa.Table:
         node, label = (table[c].to_numpy() for c in ("node", "label"))
@@ -253,7 +316,8 @@ def compared(members: DataFrame, sets: DataFrame, least: float = LEAST) -> DataF
         if (g == h or 0 < side.sum() < len(side)) and (label != label[0]).any():
             lists = table["shingles"].combine_chunks()
             values, cuts = lists.values.to_numpy(), lists.offsets.to_numpy()
-            a, b = overlaps([values[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)], label, side, least)
+            weights = [None if w is None else np.array(w) for w in table["weights"].to_pylist()]
+            a, b = overlaps([values[x:y] for x, y in zip(cuts[:-1], cuts[1:], strict=True)], label, side, least, weights)
         return pa.table({"a": node[a].astype(np.int64), "b": node[b].astype(np.int64)})
 
     ship(members.sparkSession)
@@ -280,7 +344,10 @@ def components(links: DataFrame) -> DataFrame:
 def classes(documents: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id and class_id, the least doc_id of the document's class, for every row.
 
-    Null texts and texts without words are classes of their own. Repeated rows share a class. Rows with a null id are
+    A link is probability Jaccard similarity `least` of the weighted shingles (see above): texts of the same shingles, one of
+    them with a passage many times over, can lie below it. Null texts and texts without words are classes of their own.
+    Texts are worked on whole, case and white space aside; their shingles must fit into a task's memory. Only doc_id and
+    text are read. Repeated rows share a class. Rows with a null id are
     classed by their text; a class of such rows only has the id null. An empty table gives no rows.
     """
     return text_classes(documents, least).select("doc_id", "class_id")
@@ -300,7 +367,7 @@ def text_classes(documents: DataFrame, least: float) -> DataFrame:
     own = written(single.join(nodes, ["u1", "u2"]).select("node", "doc_id", "sketch"), "node-sketches")
     ids = small_side(written(own.select(F.col("doc_id").alias("_doc")).distinct(), "node-documents"))
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
-    sets = shingle_sets(texts).dropDuplicates(["u1", "u2"]).join(nodes, ["u1", "u2"]).select("node", "shingles")
+    sets = shingle_sets(texts).dropDuplicates(["u1", "u2"]).join(nodes, ["u1", "u2"]).select("node", "shingles", "weights")
     sets = written(sets, "node-shingles")
 
     pivots = members.groupBy("band").agg(F.min("node").alias("pivot"))

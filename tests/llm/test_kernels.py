@@ -189,6 +189,16 @@ def test_registers_estimate_the_weighted_similarity():
     assert abs((heavy[0] == key[0]).mean() - 0.75) < 0.02
 
 
+def test_probability_jaccard_equals_its_sum():
+    draw = np.random.default_rng(8)
+    for _ in range(200):
+        a, b = (np.unique(draw.integers(0, 30, draw.integers(1, 25))) for _ in range(2))
+        x, y = (None if draw.random() < 0.2 else 1 + np.log(draw.integers(1, 5, len(s))) for s in (a, b))
+        p, q = ({k: float(w) for k, w in zip(s.tolist(), np.ones(len(s)) if v is None else v, strict=True)} for s, v in ((a, x), (b, y)))
+        want = sum(1 / sum(max(p.get(j, 0) / p[i], q.get(j, 0) / q[i]) for j in p.keys() | q.keys()) for i in p.keys() & q.keys())
+        assert abs(neardup.probability_jaccard(a, x, b, y) - want) < 1e-9
+
+
 def test_shingles_of_short_and_empty_rows():
     names, rows = textbytes.seeded(1, 9), np.array([0, 0, 0, 0, 0, 0, 2, 2, 3])
     owner, _, times = neardup.shingles(names, rows, 4)
@@ -216,6 +226,12 @@ def test_overlaps_of_blocks(two_sides):
                 if shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared) - 1e-9:
                     want.add((j, i))
     assert got == want and want
+    weights = [None if k % 3 else 1 + np.log(draw.integers(1, 9, len(x))) for k, x in enumerate(sets)]
+    a, b = neardup.overlaps(sets, label, side, 0.8, weights)
+    got = {(min(x), max(x)) for x in zip(a.tolist(), b.tolist())}
+    want = {(j, i) for i in range(600) for j in range(i) if label[i] != label[j] and (not two_sides or side[i] != side[j])
+            and neardup.probability_jaccard(sets[i], weights[i], sets[j], weights[j]) >= 0.8}
+    assert got == want and want
 
 
 def test_language_vectors_tell_languages_apart():
