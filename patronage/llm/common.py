@@ -41,6 +41,11 @@ def held_out(doc_id: str | Column = "doc_id") -> Column:
     return F.coalesce(F.crc32(column.cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def unit_hash(*columns: str) -> Column:
+    """A number from 0 up to 1 by the columns and the row's number in its task, with all 53 bits of a double."""
+    return F.shiftrightunsigned(F.xxhash64(*columns, F.monotonically_increasing_id()), 11) / float(1 << 53)
+
+
 def dealing(*order: str) -> Column:
     """A number for each row that spreads a key's rows over buckets, rows equal in `order` as well. It counts rows inside
     a task, so it must be written with the rows it is used for."""

@@ -16,8 +16,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from patronage.llm.common import held_out, map_arrow
+from patronage.llm.common import held_out, map_arrow, unit_hash
 from patronage.llm.textbytes import pick
 
 DIMENSIONS = 1024
@@ -151,14 +152,15 @@ class Profiles:
 def learn(documents: DataFrame, dimensions: int = DIMENSIONS, most: int = TRAINING_DOCUMENTS) -> Profiles:
     """Profiles of the languages of documents that are not held out and have a text and a language.
 
-    Of n such documents about `most` are used, chosen by a hash of id and text. Tasks send one summed vector for each
+    Of n such documents about `most` are used, chosen by a hash of id, text and the row's number in its task, so that rows
+    equal in all columns are chosen one by one; the share is compared with the whole hash and is never rounded away. Tasks send one summed vector for each
     language and the letters they met, so the driver gets languages x tasks vectors at most, added up by Spark first, and
     each letter once.
     """
     training = documents.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull()).select("doc_id", "lang", "text")
     n = documents.where(~held_out() & F.col("lang").isNotNull()).count()
     share = min(1.0, most / max(n, 1))
-    training = training.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    training = training.where(unit_hash("doc_id", "text") < share)
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -194,39 +196,39 @@ def learn(documents: DataFrame, dimensions: int = DIMENSIONS, most: int = TRAINI
 def predict(documents: DataFrame, profiles: Profiles) -> DataFrame:
     """The documents with lang_pred and lang_score in place of columns of these names.
 
-    Null texts and texts without a letter are `und` with score 0; with no profile all are. All rows and columns stay.
+    Null texts and texts without a letter are `und` with score 0; with no profile all are. All rows and other columns stay,
+    repeated rows each; ties between languages go to the first by name. An empty table gives no rows. A text is read whole.
     """
-    return marked(documents, profiles, LEAST_COSINE).drop("_known")
+    own = [F.col("row")[c].alias(c) for c in documents.columns if c not in ("lang_pred", "lang_score")]
+    return marked(documents, profiles, LEAST_COSINE).select(*own, "lang_pred", "lang_score")
 
 
 def marked(documents: DataFrame, profiles: Profiles, least: float) -> DataFrame:
-    """As predict, with a column _known: whether the document is taken to be in a known language."""
+    """row (all columns as one struct), lang_pred, lang_score, known: whether the document is taken to be in a known language."""
     shared = documents.sparkSession.sparkContext.broadcast(profiles)  # languages x dimensions floats
-    kept = [c for c in documents.columns if c not in ("lang_pred", "lang_score")]
-    documents = documents.select(*[F.col(f"`{c}`") for c in kept])
-    at = kept.index("text")
+    nested = documents.select(F.struct("*").alias("row"), "text")
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             langs, scores, known = [], [], []
-            for _, texts in slices(pick(batch.column(at))):
+            for _, texts in slices(pick(batch.column(1))):
                 lang, score, kept = shared.value.predict(texts, least)
                 langs += lang
                 scores.append(score)
                 known += kept.tolist()
             score = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(langs, pa.string()), pa.array(score.astype(np.float64)), pa.array(known, pa.bool_())],
-                [*batch.schema.names, "lang_pred", "lang_score", "_known"],
-            )
+            columns = [batch.column(0), pa.array(langs, pa.string()), pa.array(score.astype(np.float64)), pa.array(known, pa.bool_())]
+            yield pa.RecordBatch.from_arrays(columns, ["row", "lang_pred", "lang_score", "known"])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in documents.schema)
-    return map_arrow(documents, mark, f"{schema}, lang_pred string, lang_score double, _known boolean")
+    schema = T.StructType([nested.schema["row"]]).add("lang_pred", "string").add("lang_score", "double").add("known", "boolean")
+    return map_arrow(nested, mark, schema)
 
 
 def known_language(documents: DataFrame, least: float = LEAST_COSINE) -> DataFrame:
-    """Drops documents without a letter and those that are close to no learned language; all columns stay.
+    """Drops documents without a letter and those that are close to no learned language; all columns stay as they are,
+    whatever their names.
 
     A short text's cosine does not tell whether it is; such texts stay if they are in known letters (FEW_GRAMS).
     """
-    return marked(documents, learn(documents), least).where("_known").select(*documents.columns)
+    kept = marked(documents, learn(documents), least).where("known")
+    return kept.select(*[F.col("row")[c].alias(c) for c in documents.columns])
