@@ -18,7 +18,8 @@ MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
 SPAN = max(map(max, MASKS)) + 1
 WINDOW = 13
 SUBSTITUTIONS = 2
-#: Items of fewer words say too little to be looked for; items shorter than the masks are looked for whole.
+#: Items of fewer words say too little to be looked for, unless `least_words` asks for them; items shorter than the masks
+#: are looked for whole.
 LEAST_WORDS = 5
 _SPACE = " \t\n\x0b\f\r"
 
@@ -40,16 +41,18 @@ def allowed(window: Column) -> Column:
     return F.when(window >= WINDOW, SUBSTITUTIONS).when(window >= 10, 1).otherwise(0)
 
 
-def find_overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+def find_overlaps(documents: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, text_hash, item_id, item_words, first_word, equal_words: one row for each document and item with an
     overlap, at its best place.
 
-    Null and short texts and items have none. Rows equal in doc_id and text give one row, as do repeated items; null ids
+    Items of fewer than `least_words` words are left out: two or three common words would take most documents with them.
+    With 1, every item is looked for. Items of ten words or more may differ in one word, those of thirteen in two of any
+    thirteen; shorter ones must be found as they are. Null and wordless texts and items have none. Rows equal in doc_id and text give one row, as do repeated items; null ids
     are found as well. Other columns are ignored. `text_hash` tells rows of one doc_id with different texts apart.
     """
     items = benchmark.where(F.col("text").isNotNull()).select("item_id", word_array(F.col("text")).alias("item"))
-    items = written(items.where(F.size("item") >= LEAST_WORDS).distinct(), "benchmark-items")
-    short = [r[0] for r in items.where(F.size("item") < SPAN).select(F.size("item")).distinct().collect()]  # at most 4
+    items = written(items.where((F.size("item") >= least_words) & (F.get("item", F.lit(0)) != "")).distinct(), "benchmark-items")
+    short = [r[0] for r in items.where(F.size("item") < SPAN).select(F.size("item")).distinct().collect()]  # at most SPAN - 1
     masks = [(i, m, None) for i, m in enumerate(MASKS)] + [(100 + n, tuple(range(n)), n) for n in sorted(short)]
     hashes = F.transform("item", lambda w: F.xxhash64(w))
     wanted = lambda n: F.size("item") >= SPAN if n is None else F.size("item") == n
@@ -88,9 +91,9 @@ def find_overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
 
 
-def without_overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that overlap no benchmark item; all columns and repeated rows stay."""
-    found = written(find_overlaps(documents, benchmark).select("doc_id", "text_hash").distinct(), "contaminated")
-    found = small_side(found.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash")))
-    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.xxhash64("text") == F.col("_hash"))
-    return documents.join(found, same, "left_anti")
+def without_overlaps(documents: DataFrame, benchmark: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """The documents that overlap no benchmark item; all columns, whatever their names, and repeated rows stay."""
+    found = written(find_overlaps(documents, benchmark, least_words).select("doc_id", "text_hash").distinct(), "contaminated")
+    row = documents.select(F.struct("*").alias("row"))
+    same = F.col("row")["doc_id"].eqNullSafe(F.col("doc_id")) & (F.xxhash64(F.col("row")["text"]) == F.col("text_hash"))
+    return row.join(small_side(found), same, "left_anti").select(*[F.col("row")[c].alias(c) for c in documents.columns])
