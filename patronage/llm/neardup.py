@@ -399,22 +399,25 @@ def text_classes(documents: DataFrame, least: float) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame, least: float = LEAST) -> DataFrame:
-    """The documents with the least id of their class, each once; all columns stay. Rows without an id all stay.
+    """The documents with the least id of their class, each once; all columns, whatever their names, stay. Rows without an
+    id all stay.
 
     Different texts may share an id: each is judged by its own class, and one text of a class stays.
     """
     found = written(text_classes(documents, least), "classes")
-    keyed = documents.withColumn("_text_key", F.xxhash64("text"))
-    name = lambda frame: frame.select("doc_id", F.col("text_key").alias("_text_key"))
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    keyed = documents.select(F.struct("*").alias("row"), doc_id, F.xxhash64("text").alias("text_key"))
+    own = [F.col("row")[c].alias(c) for c in documents.columns]
+    name = lambda frame: frame.select("doc_id", "text_key")
     losers = small_side(written(name(found.where("doc_id != class_id")).distinct(), "losers"))
-    kept = keyed.join(losers, ["doc_id", "_text_key"], "left_anti")
+    kept = keyed.join(losers, ["doc_id", "text_key"], "left_anti")
     best = found.where("doc_id = class_id")
     repeated = written(best.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     if repeated.isEmpty():
-        return kept.select(*documents.columns)
+        return kept.select(*own)
     repeated = small_side(repeated)
     wordless = F.when(F.col("g1").isNull(), F.col("text_key"))
     first = best.join(repeated, "doc_id", "left_semi").groupBy("doc_id", "g1", "g2", "alone", wordless).agg(F.min("text_key").alias("text_key"))
     first = small_side(written(name(first), "repeated-first"))
-    once = kept.join(first, ["doc_id", "_text_key"], "left_semi").dropDuplicates(["doc_id", "_text_key"])
-    return kept.join(repeated, "doc_id", "left_anti").unionByName(once).select(*documents.columns)
+    once = kept.join(first, ["doc_id", "text_key"], "left_semi").dropDuplicates(["doc_id", "text_key"])
+    return kept.join(repeated, "doc_id", "left_anti").select(*own).unionByName(once.select(*own))
