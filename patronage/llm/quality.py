@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from patronage.llm.common import held_out, map_arrow, written
+from patronage.llm.common import held_out, map_arrow, unit_hash, written
 from patronage.llm.textbytes import Rolling, lines, mix, per_row, pick, slices, sums_by_row, words
 
 #: Training rows, at most (hash-chosen): positives, and unlabelled documents.
@@ -209,7 +209,8 @@ def feature_table(documents: DataFrame) -> DataFrame:
 def train(table: DataFrame, labels: DataFrame, most_positive: int = TRAINING_POSITIVES, most_unlabelled: int = TRAINING_UNLABELLED) -> Network | None:
     """A network from rows that are not held out, or None without a positive or an unlabelled row.
 
-    At most about the given numbers of rows, chosen by a hash of the id, come to the driver, as features only.
+    At most the given numbers of rows come to the driver, as features only: those with the least hash of id, features and
+    the row's number in its task, so many rows of one id, or without one, are chosen from like all others.
     """
     positives = labels.where((F.col("quality") == 1) & F.col("doc_id").isNotNull()).select("doc_id").distinct()
     rows = table.where(~held_out()).join(positives.withColumn("_p", F.lit(True)), "doc_id", "left")
@@ -217,8 +218,12 @@ def train(table: DataFrame, labels: DataFrame, most_positive: int = TRAINING_POS
     sizes = {r["_p"]: r["n"] for r in rows.groupBy("_p").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return None
-    share = F.when(F.col("_p"), F.lit(most_positive / sizes[True])).otherwise(F.lit(most_unlabelled / sizes[False]))
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share * 1_000_000).toArrow()
+    rows = rows.withColumn("_u", unit_hash("doc_id", "features"))
+    parts = []
+    for is_positive, most in ((True, most_positive), (False, most_unlabelled)):
+        share = 1.1 * most / sizes[is_positive] + 1000 / sizes[is_positive]  # some more than needed, then the first of them
+        parts.append(rows.where((F.col("_p") == is_positive) & (F.col("_u") < share)).orderBy("_u").limit(most))
+    chosen = parts[0].unionByName(parts[1]).toArrow()
     order = np.argsort(chosen["doc_id"].fill_null(-1).to_numpy(), kind="stable")
     x = chosen["features"].combine_chunks().flatten().to_numpy().reshape(-1, len(FEATURES)).astype(np.float64)[order]
     is_positive = chosen["_p"].to_numpy()[order]
