@@ -495,3 +495,56 @@ def test_packing_plan_is_the_grouping_one_and_no_larger_than_best_fit(seed):
     assert packing.total(packing.plan(counts)) <= best <= packing.total(grouped) * 1.02
     kept = {tuple(sorted(r.sizes)) for r in packing.plan(counts)}
     assert sum(tuple(sorted(r.sizes)) in kept for r in grouped) > len(grouped) / 4
+
+
+def test_many_addresses_in_one_text(spark):
+    import time
+
+    texts = [" ".join(f"email user{i}@host{i % 7}.example.org" for i in range(n)) for n in (50_000, 255, 256, 257, 1)]
+    frame = table(spark, list(enumerate(texts)))
+    personal.report(frame.limit(1)).collect()
+    start = time.perf_counter()
+    rows = {r.doc_id: r for r in personal.report(frame).collect()}
+    assert time.perf_counter() - start < 20 and rows[0].n_email == 50_000
+    for i, text in enumerate(texts):
+        assert rows[i].spans == ",".join(f"email:{m.start()}:{m.end()}" for m in re.finditer(r"\S+@\S+", text))
+        assert set(rows[i].scores.split(",")) == {"1.00"}
+
+
+def test_filters_keep_columns_of_any_name(spark):
+    from pyspark.sql import functions as F
+
+    names = ["_doc", "_hash", "_known", "known", "row", "lang_pred", "lang_score", "_text_key", "text_key", "class_id", "a.b"]
+    draw = random.Random(3)
+    rows = [(i, prose(draw, 30, 10**6), "en", *[f"{n}{i}" for n in names]) for i in range(12)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string, " + ", ".join(f"`{n}` string" for n in names))
+    benchmark = spark.createDataFrame([(1, rows[0][1]), (2, "w1 w2"), (3, " ")], "item_id long, text string")
+    for done, kept in (
+        (language.known_language(frame), rows), (neardup.one_of_each(frame), rows), (decontaminate.without_overlaps(frame, benchmark), rows[1:]),
+    ):
+        assert done.schema.simpleString() == frame.schema.simpleString()
+        assert sorted(tuple(r) for r in done.collect()) == kept
+    short = spark.createDataFrame([(1, " ".join(rows[3][1].split()[4:6]))], "item_id long, text string")
+    assert decontaminate.without_overlaps(frame, short).count() == 12
+    assert decontaminate.without_overlaps(frame, short, least_words=1).where(F.col("doc_id") == 3).isEmpty()
+
+
+def test_training_samples_are_bounded_for_equal_rows(spark):
+    from pyspark.sql import functions as F
+
+    from patronage.llm.common import unit_hash
+
+    many = spark.range(200_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("the same text").alias("text"))
+    assert 150 < many.where(unit_hash("doc_id", "text") < 1e-3).count() < 260
+    assert 0 < many.where(unit_hash("doc_id", "text") < 3e-5).count() < 20  # a share is never rounded to nothing
+    features = many.select("doc_id", F.array(*[F.lit(float(k)).cast("float") for k in range(len(quality.FEATURES))]).alias("features"))
+    features = features.unionByName(spark.createDataFrame([(4, [0.0] * len(quality.FEATURES))], features.schema))
+    labels = spark.createDataFrame([(4, 1)], "doc_id long, quality int")
+    seen = []
+    real = quality.class_prior
+    quality.class_prior = lambda p, u: seen.append((len(p), len(u))) or real(p, u)
+    try:
+        quality.train(features, labels, 1000, 500)
+    finally:
+        quality.class_prior = real
+    assert seen == [(1, 500)]
