@@ -166,21 +166,35 @@ def conditional_c360(merged: DataFrame, seq: str = "source_seq") -> DataFrame:
     """Customer 360 from one tagged stream (kinds profile, order, activation) with a single aggregation: one
     state row per customer, no join and no rescan, in batch or as a streaming update-mode aggregate. Order ids
     must be unique; customers known only by a profile or a message are kept, with no orders."""
+    return merged.groupBy("customer_id").agg(*_state_columns(seq))
+
+
+def _state_columns(seq: str) -> list[Column]:
+    """What one row per customer holds of profile, orders and messages; aggregates over a tagged stream."""
     is_order = F.col("kind") == "order"
     status = F.when(F.col("kind") == "activation", F.col("status"))
-    profile_cols = ("email", "first_name", "last_name", "lifecycle_stage", "is_active")
 
     def newest(name: str) -> Column:
         return F.expr(f"max_by(`{name}`, `{seq}`) FILTER (WHERE kind = 'profile' AND `{name}` IS NOT NULL)").alias(name)
 
-    return merged.groupBy("customer_id").agg(
-        *[newest(c) for c in profile_cols],
+    return [
+        *[newest(c) for c in ("email", "first_name", "last_name", "lifecycle_stage", "is_active")],
         F.coalesce(exact_sum(F.when(is_order, F.col("order_total"))), F.lit(0.0)).alias("lifetime_value"),
         F.count_if(is_order).alias("order_count"),
         F.max(F.when(is_order, F.col("placed_at"))).alias("last_order_ts"),
         delivered_count(status).alias("delivered_messages"),
         failed_count(status).alias("failed_messages"),
-    )
+    ]
+
+
+def consolidated_state(merged: DataFrame, seq: str = "source_seq") -> DataFrame:
+    """The consolidated row of every customer with an order, from one tagged stream: order summary, newest profile column
+    by column and message summary are one state row, so a profile or a message counts whenever it comes, before the first
+    order as well; the customer appears with that order. In batch or as a streaming update-mode aggregate. Every order
+    event counts, re-sent ones included."""
+    engaged = F.max(F.when(F.col("kind") == "activation", F.col("delivered_at"))).alias("last_engagement_ts")
+    rows = merged.groupBy("customer_id").agg(*_state_columns(seq), engaged)
+    return rows.where(F.col("order_count") > 0)
 
 
 def missing_profile(rows: DataFrame) -> DataFrame:

@@ -62,16 +62,24 @@ def _zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0))
 
 
-def apply_orders(serving: DataFrame, new_orders: DataFrame) -> DataFrame:
+def _gained(serving: DataFrame, gained: DataFrame, done: Column | None) -> DataFrame:
+    """The rows with what a batch adds to them; nothing where `done` says that the row holds the batch already."""
+    joined = serving.join(gained, "customer_id", "full_outer")
+    if done is None:
+        return joined
+    return joined.withColumns({c: F.when(~F.coalesce(done, F.lit(False)), F.col(c)) for c in gained.columns if c != "customer_id"})
+
+
+def apply_orders(serving: DataFrame, new_orders: DataFrame, done: Column | None = None) -> DataFrame:
     """Fold a batch of orders into serving rows: counts and value grow, the customer becomes active and the
-    stage is worked out again. Customers seen for the first time get a row."""
+    stage is worked out again. Customers seen for the first time get a row. Rows for which `done` holds stay."""
     gained = new_orders.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("_n"), F.sum(to_cents(F.col("order_total"))).alias("_cents"),
         F.max("placed_at").alias("_last"),
     )
     touched = F.col("_n").isNotNull()
     updated = (
-        serving.join(gained, "customer_id", "full_outer")
+        _gained(serving, gained, done)
         .withColumn("order_count", _zero("order_count") + _zero("_n"))
         .withColumn(
             "lifetime_value",
@@ -87,15 +95,16 @@ def apply_orders(serving: DataFrame, new_orders: DataFrame) -> DataFrame:
     return updated.select(*serving.columns)
 
 
-def apply_engagements(serving: DataFrame, new_events: DataFrame) -> DataFrame:
-    """Fold a batch of message results into serving rows; whatever was not delivered counts as failed."""
+def apply_engagements(serving: DataFrame, new_events: DataFrame, done: Column | None = None) -> DataFrame:
+    """Fold a batch of message results into serving rows; whatever was not delivered counts as failed. Rows for which
+    `done` holds stay."""
     ok = F.coalesce(F.col("status") == "delivered", F.lit(False))
     gained = new_events.groupBy("customer_id").agg(
         F.count_if(ok).alias("_ok"), F.count_if(~ok).alias("_bad"), F.max("delivered_at").alias("_last"),
     )
     touched = F.col("_ok").isNotNull()
     updated = (
-        serving.join(gained, "customer_id", "full_outer")
+        _gained(serving, gained, done)
         .withColumn("order_count", _zero("order_count"))
         .withColumn("lifetime_value", F.coalesce("lifetime_value", F.lit(0.0)))
         .withColumn("delivered_messages", _zero("delivered_messages") + _zero("_ok"))

@@ -158,7 +158,7 @@ SELECT customer_id, order_count, lifetime_value, last_order_ts, NULLIF(first_nam
 def serving_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Serving rows merged from the published messages."""
     p = after_each_gold_batch(spark, sf, "serving", [Pipeline.run_publish_c360, Pipeline.run_serving])
-    return p.lake.read("serving", "customers").drop("removed")
+    return p.lake.read("serving", "customers").drop("removed", "applied")
 
 
 @query("src_lake_snapshot", given("silver_customers") + f"SELECT {B._PROFILE_LIST} FROM silver_customers")
@@ -219,7 +219,7 @@ FROM order_summary s FULL OUTER JOIN activation_summary a ON s.customer_id = a.c
 def serving_events_stream(spark: SparkSession, sf: str) -> DataFrame:
     """Serving rows kept up to date from the events alone, before any gold message arrives."""
     p = run_serving_events(spark, sf, "serving_events")
-    return p.lake.read("serving", "customers").drop("first_name", "last_name", "email", "removed")
+    return p.lake.read("serving", "customers").drop("first_name", "last_name", "email", "removed", "applied")
 
 
 @query("stage_transitions_stream", given("order_summary", "activation_summary", scale=B.STAGE_SCALE) + f"""
@@ -231,6 +231,38 @@ def stage_transitions_stream(spark: SparkSession, sf: str) -> DataFrame:
     return p.lake.read("live", "stage_events").select("customer_id", "lifecycle_stage", "is_active")
 
 
+def recency_messages(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Serving rows as messages in two parts: all customers, every third with a much newer order; then these deleted, and
+    most of them sent again as they are. After both, the rows stand as in the batch query, less those deleted for good."""
+    rows = B.serving_of(spark, sf)
+    number = F.regexp_extract("customer_id", "[0-9]+", 0).cast("bigint")
+    newer = F.when(number % 3 == 0, F.coalesce("last_order_ts", F.lit(0)) + 10**12).otherwise(F.col("last_order_ts"))
+
+    def records(messages: DataFrame, seq: int) -> DataFrame:
+        return messages.select("key", "value", F.current_timestamp().alias("timestamp"), F.lit(seq).cast("bigint").alias("source_seq"))
+
+    def sent(frame: DataFrame, seq: int) -> DataFrame:
+        return records(V.to_message(frame, "customer_id", rows.columns), seq)
+
+    gone = records(rows.where(number % 3 == 0).select(F.col("customer_id").alias("key"), F.lit(None).cast("string").alias("value")), 2)
+    return sent(rows.withColumn("last_order_ts", newer), 1), gone.unionByName(sent(rows.where((number % 3 == 0) & (number % 4 != 0)), 3))
+
+
+@query("recent_customers_indexed_stream", given("serving") + """
+SELECT customer_id, order_count, lifetime_value, last_order_ts, NULLIF(first_name, '') AS first_name, last_name, email,
+       lifecycle_stage, is_active, delivered_messages, failed_messages, CAST(NULL AS BIGINT) AS last_engagement_ts
+FROM serving WHERE CAST(regexp_extract(customer_id, '[0-9]+') AS BIGINT) % 12 <> 0
+ORDER BY COALESCE(last_order_ts, 0) DESC, customer_id DESC LIMIT 250""")
+def recent_customers_indexed_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The most recent customers from the recency index, after updates, deletes and returns."""
+    p = new_pipeline(spark, "recent")
+    p.keep_recent = 250
+    for part in recency_messages(spark, sf):
+        append_records(part, p.published_path("c360"))
+        p.finish(p.run_serving())
+    return p.recent_customers()
+
+
 # -- live path --------------------------------------------------------------------------------------------------
 
 
@@ -300,3 +332,59 @@ FROM consolidated""")
 def segments_stream(spark: SparkSession, sf: str) -> DataFrame:
     p = run_segments(spark, sf, "segments")
     return p.lake.read("live", "segments")
+
+
+@query("consolidated_stream", given("consolidated") + f"SELECT {B._SERVING_LIST} FROM consolidated")
+def consolidated_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """The consolidated table kept from the topics; profiles and messages arrive before and after the first order."""
+    p = new_pipeline(spark, "consolidated")
+    arrive_and_run(p, sf, ALL, [[p.run_live_consolidated]])
+    return p.lake.read("live", "consolidated")
+
+
+def _last_sent(p: Pipeline, name: str, schema: str) -> DataFrame:
+    """The last message of a derived topic for each key."""
+    return B.read_messages(_newest_messages(p, f"live_{name}"), schema)
+
+
+@query("derived_consolidated_topic", given("consolidated") + f"SELECT customer_id AS key, {B._SERVING_LIST} FROM consolidated")
+def derived_consolidated_topic(spark: SparkSession, sf: str) -> DataFrame:
+    p = new_pipeline(spark, "derived_consolidated")
+    arrive_and_run(p, sf, ALL, [[p.run_live_consolidated], [lambda: p.run_publish_live("consolidated")]])
+    return _last_sent(p, "consolidated", (
+        "customer_id string, order_count bigint, lifetime_value double, last_order_ts bigint, first_name string, last_name string, "
+        "email string, lifecycle_stage string, is_active boolean, delivered_messages bigint, failed_messages bigint, last_engagement_ts bigint"
+    ))
+
+
+@query("derived_enriched_topic", given("order_events", "profile_events") + f"""
+, filled AS (
+  SELECT customer_id, source_seq,
+         LAST_VALUE(email IGNORE NULLS) OVER w AS email, LAST_VALUE(lifecycle_stage IGNORE NULLS) OVER w AS lifecycle_stage
+  FROM profile_events WINDOW w AS (PARTITION BY customer_id ORDER BY source_seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+SELECT o.customer_id AS key, {B._ENRICHED}, p.email AS customer_email, p.lifecycle_stage
+FROM (SELECT * FROM order_events QUALIFY ROW_NUMBER() OVER (PARTITION BY customer_id ORDER BY source_seq DESC) = 1) o
+ASOF LEFT JOIN filled p ON o.customer_id = p.customer_id AND o.source_seq >= p.source_seq""")
+def derived_enriched_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """The last enriched order sent for each customer."""
+    p = new_pipeline(spark, "derived_enriched")
+    arrive_and_run(p, sf, [ORDER, PROFILE], [[p.run_live_orders], [lambda: p.run_publish_live("enriched_orders")]])
+    return _last_sent(p, "enriched_orders", (
+        "order_id string, customer_id string, order_total double, order_channel string, order_placed_at bigint, customer_email string, "
+        "lifecycle_stage string"
+    ))
+
+
+@query("derived_segment_topics", given("consolidated", scale=B.SEGMENT_SCALE) + f"""
+SELECT customer_id AS key, lifetime_value, order_count, last_order_ts, lifecycle_stage,
+       CASE WHEN lifetime_value >= 200 THEN 'vip' WHEN order_count >= 2 THEN 'growth'
+            WHEN lifecycle_stage IS NULL THEN 'unknown' ELSE lifecycle_stage END AS segment,
+       CAST(ROUND(CAST(lifetime_value / 200.0 + order_count * 0.1 AS DECIMAL(18,6)), 2) AS DOUBLE) AS score,
+       CAST({B.FIXED_NOW} AS BIGINT) AS materialized_at
+FROM consolidated""")
+def derived_segment_topics(spark: SparkSession, sf: str) -> DataFrame:
+    """The last messages of the segment source and of the segments, side by side."""
+    p = run_segments(spark, sf, "derived_segments")
+    p.finish(p.run_publish_live("segment_source"), p.run_publish_live("segments"))
+    source = _last_sent(p, "segment_source", "lifetime_value double, order_count bigint, last_order_ts bigint, lifecycle_stage string")
+    return source.join(_last_sent(p, "segments", "segment string, score double, materialized_at bigint"), "key")

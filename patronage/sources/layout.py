@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import types as T
 
 from patronage.contracts import columns_of
+from patronage.operators.recency import index_schema
 
 
 @dataclass(frozen=True)
@@ -97,8 +98,18 @@ TABLES = {
             "serving", "customers",
             "customer_id string, order_count bigint, lifetime_value double, last_order_ts bigint, first_name string, "
             "last_name string, email string, lifecycle_stage string, is_active boolean, delivered_messages bigint, "
-            "failed_messages bigint, last_engagement_ts bigint, removed boolean",
+            "failed_messages bigint, last_engagement_ts bigint, applied string, removed boolean",
             ("customer_id",), deleted="removed",
         ),
+        _table(
+            "live", "consolidated",
+            "customer_id string, order_count bigint, lifetime_value double, last_order_ts bigint, first_name string, "
+            "last_name string, email string, lifecycle_stage string, is_active boolean, delivered_messages bigint, "
+            "failed_messages bigint, last_engagement_ts bigint",
+            ("customer_id",),
+        ),
     )
 }
+
+_SERVED = TABLES["serving", "customers"].schema
+TABLES["serving", "recent"] = KeyedTable("serving", "recent", index_schema(_SERVED), ("slot",), cluster_by="slot")

@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from patronage.contracts import ACTIVATION, ORDER, PROFILE, PROFILE_COLUMNS, Contract
 from patronage.operators import joins as J
 from patronage.operators import metrics as M
+from patronage.operators import recency as R
 from patronage.operators import segments as S
 from patronage.operators import serving as V
 from patronage.operators.curate import curate_activations, curate_customers, curate_orders
@@ -49,7 +50,8 @@ def bronze_schema(spec: Contract) -> T.StructType:
 class Pipeline:
     """`topics` maps contract names to a path or topic; `options` go to the event source and `hop_options` to the file
     streams between the hops. Set their rate limits (`maxOffsetsPerTrigger`, `maxBytesPerTrigger`, `maxFilesPerTrigger`)
-    so that a backlog is taken in batches the cluster can hold."""
+    so that a backlog is taken in batches the cluster can hold. `keep_recent` is how many of the newest customers readers may
+    ask the recency index for; 0 keeps none."""
 
     spark: SparkSession
     root: str
@@ -62,6 +64,7 @@ class Pipeline:
     trigger: dict[str, object] = field(default_factory=lambda: {"availableNow": True})
     buckets: int = 64
     compact_every: int = 16
+    keep_recent: int = 0
 
     def __post_init__(self) -> None:
         prefer_rocksdb(self.spark)
@@ -107,13 +110,16 @@ class Pipeline:
         return self.each_batch(stream, f"{layer}_{name}", write, mode, reread=False)
 
     def _upsert(self, df: DataFrame, batch_id: int, layer: str, name: str) -> bool:
-        # the id of the running query: batch numbers start again with every new checkpoint
-        writer = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-        written = self.lake.upsert_batch(df, batch_id, layer, name, writer)
+        written = self.lake.upsert_batch(df, batch_id, layer, name, self._writer(df))
         if written and batch_id % self.compact_every == self.compact_every - 1:
             self.lake.compact(layer, name)
         return written
 
+    @staticmethod
+    def _writer(df: DataFrame) -> str:
+        """The id of the running query: batch numbers start again with every new checkpoint."""
+        return df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
+
     def append_stream(self, stream: DataFrame, name: str, path: str, fmt: str = "parquet") -> StreamingQuery:
         writer = stream.writeStream.queryName(name).outputMode("append").format(fmt)
         return writer.option("checkpointLocation", self._checkpoint(name)).trigger(**self.trigger).start(path)
@@ -229,7 +235,10 @@ class Pipeline:
 
     def run_serving(self, source: str | None = None, with_events: bool = False) -> StreamingQuery:
         """Serving rows from the published messages. `with_events` also folds in order and message events as they
-        arrive, ahead of the lake path, and writes a stage event for every customer whose stage that changes."""
+        arrive, ahead of the lake path, and writes a stage event for every customer whose stage that changes.
+
+        A row carries the query and batch that wrote it, in the same write as what the batch folded in: a batch that is
+        sent again after a crash, wherever that came, finds them and folds nothing in twice."""
         path = source or fs.make_dir(self.spark, self.published_path("c360"))
         messages = read_events(self.spark, path, "json", schema=RECORD, options=self.hop_options).drop("timestamp")
         streams = {"message": messages.withColumn("customer_id", F.col("key"))}
@@ -240,20 +249,43 @@ class Pipeline:
         def merge(batch: DataFrame, batch_id: int) -> None:
             within = self.lake.scope(batch.select("customer_id"))
             current = self.lake.read_or_empty("serving", "customers", within).drop("removed")
+            applied = f"{self._writer(batch)}-{batch_id}"
             if with_events:
-                before, orders = current, batch.where("kind = 'order'")
-                current = M.apply_engagements(M.apply_orders(before, orders), batch.where("kind = 'activation'"))
+                before, orders, done = current, batch.where("kind = 'order'"), F.col("applied") == applied
+                current = M.apply_engagements(M.apply_orders(before, orders, done), batch.where("kind = 'activation'"), done)
                 # before the rows: a replay after a crash in between still finds the stage the customer had
                 self._upsert(S.stage_transitions(before, current), batch_id, "live", "stage_events")
             sent = batch.where("kind = 'message'")
             rows = serving_batch(current, sent, hot_keys(sent, "key"))
             if with_events:
-                others = current.join(rows.select("customer_id"), "customer_id", "left_anti")
+                others = current.join(rows.select("customer_id"), "customer_id", "left_anti").drop("applied")
                 rows = rows.unionByName(others.withColumn("removed", F.lit(False)))
-            self._upsert(rows, batch_id, "serving", "customers")
+            self._upsert(rows.withColumn("applied", F.lit(applied)), batch_id, "serving", "customers")
+            if self.keep_recent:
+                self._keep_recent(within, batch_id)
 
         return self.each_batch(J.merge_streams(**streams), "serving_customers", merge)
 
+    def _keep_recent(self, within: Scope, batch_id: int) -> None:
+        """Bring the recency index forward by the customers of a batch. It is worked out from the rows as they stand, so
+        doing it again changes nothing."""
+        keep, slots = 2 * self.keep_recent, self.buckets
+        index = self.lake.read_or_empty("serving", "recent")
+        merged = R.merge_recent(index, within.keys, self.lake.read("serving", "customers", within), slots, keep).persist()
+        try:
+            short = R.short_slots(merged, self.keep_recent)
+            whole = R.refill(merged, self.lake.read("serving", "customers"), short, slots, keep) if short else merged
+            self._upsert(whole, batch_id, "serving", "recent")
+        finally:
+            merged.unpersist()
+
+    def recent_customers(self, n: int | None = None) -> DataFrame:
+        """The n customers with the newest orders, by id, from the recency index; n may be up to keep_recent."""
+        n = self.keep_recent if n is None else n
+        if n > self.keep_recent:
+            raise ValueError(f"the index keeps {self.keep_recent} customers")
+        return R.recent_from_index(self.lake.read_or_empty("serving", "recent"), n)
+
     def run_publish_stages(self, topic: str | None = None) -> StreamingQuery:
         """Stage events as profile messages."""
         rows = self._changes("live", "stage_events")
@@ -297,6 +329,23 @@ class Pipeline:
         )
         return self.upsert_stream(J.conditional_c360(merged), "live", "c360", "update")
 
+    def run_live_consolidated(self) -> StreamingQuery:
+        """The consolidated table, kept: customers appear with their first order and again with whatever changes."""
+        merged = J.merge_streams(
+            profile=self.events(PROFILE), order=self.events(ORDER).drop("items", "currency", "channel"),
+            activation=self.events(ACTIVATION).drop("channel", "order_id"),
+        )
+        return self.upsert_stream(J.consolidated_state(merged), "live", "consolidated", "update")
+
+    def run_publish_live(self, name: str, topic: str | None = None) -> StreamingQuery:
+        """A derived topic: every changed row of a live table as a JSON message, keyed by customer. Rows of a table are
+        ordered by their own sequence number where they have one, else by the table's batch."""
+        rows = self._changes("live", name)
+        columns = tuple(c for c in rows.columns if c not in ("batch", "source_seq"))
+        seq = "source_seq" if "source_seq" in rows.columns else "batch"
+        messages = self._message_stream(rows.withColumn("batch", F.col(seq)), columns)
+        return self.publish(messages, f"live_{name}", topic=topic)
+
     def _changed_customers(self, *names: str) -> DataFrame:
         return J.merge_streams(**{n: self._changes("live", n).select("customer_id") for n in names})
 

@@ -242,3 +242,83 @@ def test_serving_rows_follow_events_before_the_lake_does(pipe, rows_of):
     assert [s for s in stages if s[0] != "a"] == [("b", "engaged"), ("ghost", "customer")]
     pipe.finish(pipe.run_publish_stages())
     assert pipe.spark.read.json(pipe.published_path("stages")).select("key").distinct().count() == 3
+
+
+def serving_state(pipe):
+    rows = pipe.lake.read("serving", "customers").drop("applied").collect()
+    stages = pipe.lake.read("live", "stage_events").select("customer_id", "lifecycle_stage").collect()
+    return sorted(map(tuple, rows), key=str), sorted(map(tuple, stages), key=str)
+
+
+@pytest.mark.parametrize("step", ["move", "touch"])
+@pytest.mark.parametrize("call", [1, 2, 3, 4])
+def test_a_fold_counts_once_wherever_its_writer_dies(spark, pipe, root, monkeypatch, step, call):
+    """The writer dies before the n-th batch of a table appears, or after that and before it is recorded."""
+    from patronage.sources import fs
+
+    feed(pipe, ORDER, files=2)
+    feed(pipe, ACTIVATION, files=2)
+    messages = f"{root}/messages"
+    drop(messages, 0, PROFILE, [(1, {"customer_id": "b", "email": "b@1", "order_count": 1})])
+    real, calls = getattr(fs, step), []
+
+    def dying(*args):
+        calls.append(args)
+        if len(calls) == call:
+            raise OSError("the writer dies here")
+        return real(*args)
+
+    monkeypatch.setattr(fs, step, dying)
+    with pytest.raises(Exception, match="the writer dies here"):
+        pipe.finish(pipe.run_serving(messages, with_events=True))
+    monkeypatch.setattr(fs, step, real)
+    pipe.finish(pipe.run_serving(messages, with_events=True))
+    rows, stages = serving_state(pipe)
+    got = {r[0]: r[1:4] for r in rows}
+    assert got == {"a": (3, 15.6, 500), "b": (got["b"][0], 3.5, 130), "ghost": (1, 3.0, 90)} and got["b"][0] in (2, 3)
+    counted = {r.customer_id: (r.delivered_messages, r.failed_messages) for r in pipe.lake.read("serving", "customers").collect()}
+    assert counted == {"a": (1, 2), "b": (1, 0), "ghost": (0, 0)}
+    assert dict(stages)["ghost"] == "customer" and {c for c, _ in stages} == {"a", "b", "ghost"}
+
+
+def test_consolidated_stream_emits_customers_with_their_first_order(pipe, rows_of):
+    names = ("customer_id", "email", "order_count", "delivered_messages", "failed_messages", "last_engagement_ts")
+    drop(pipe.topics["profile"], 0, PROFILE, PROFILES[:3])
+    drop(pipe.topics["activation"], 0, ACTIVATION, ACTIVATIONS[:2])
+    pipe.finish(pipe.run_live_consolidated())
+    assert rows_of(pipe.lake.read_or_empty("live", "consolidated")) == []
+    feed(pipe, ORDER, files=2)
+    pipe.finish(pipe.run_live_consolidated())
+    assert rows_of(pipe.lake.read("live", "consolidated"), *names) == [("a", "a@2", 3, 1, 1, 7), ("b", None, 2, 0, 0, None), ("ghost", None, 1, 0, 0, None)]
+    drop(pipe.topics["profile"], 9, PROFILE, PROFILES[4:])
+    drop(pipe.topics["activation"], 9, ACTIVATION, ACTIVATIONS[2:])
+    pipe.finish(pipe.run_live_consolidated())
+    assert rows_of(pipe.lake.read("live", "consolidated"), *names) == [("a", "a@2", 3, 1, 2, 7), ("b", "b@1", 2, 1, 0, 9), ("ghost", None, 1, 0, 0, None)]
+    pipe.finish(pipe.run_publish_live("consolidated"))
+    pipe.finish(pipe.run_publish_live("consolidated"))
+    sent = pipe.spark.read.json(pipe.published_path("live_consolidated")).collect()
+    assert {r.key for r in sent} == {"a", "b", "ghost"}
+    last = max((r for r in sent if r.key == "b"), key=lambda r: r.source_seq)
+    assert json.loads(last.value)["last_engagement_ts"] == 9
+
+
+def test_recent_customers_come_from_the_index(pipe, root):
+    pipe.keep_recent = 2
+    source = f"{root}/messages"
+
+    def send(number, *messages):
+        os.makedirs(source, exist_ok=True)
+        with open(f"{source}/{number}.json", "w") as out:
+            for seq, key, ts in messages:
+                value = None if ts is None else json.dumps({"order_count": 1, "last_order_ts": ts})
+                out.write(json.dumps({"key": key, "value": value, "timestamp": "2024-01-01T00:00:00Z", "source_seq": seq}) + "\n")
+        pipe.finish(pipe.run_serving(source))
+        return [r.customer_id for r in pipe.recent_customers().collect()]
+
+    assert send(0, *[(i, f"c{i:02}", i) for i in range(1, 40)]) == ["c38", "c39"]
+    assert send(1, (50, "c39", None), (51, "c01", 90)) == ["c01", "c38"]
+    assert send(2, *[(60 + i, f"c{i:02}", None) for i in range(3, 39)]) == ["c01", "c02"]  # lists run short and are filled again
+    files = pipe.recent_customers().inputFiles()
+    assert files and all("/serving/recent/" in f for f in files)
+    with pytest.raises(ValueError):
+        pipe.recent_customers(3)
