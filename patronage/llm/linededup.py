@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronage.llm.common import map_arrow, ship, small_side, written
-from patronage.llm.textbytes import Rolling, characters, lines, mix, pick, slices, words
+from patronage.llm.textbytes import SPACES, Rolling, character_places, characters, lines, mix, pick, slices
 
 THRESHOLD = 2
 #: Shorter lines are near none: an edit would change more than a twentieth of them. Equal ones are found all the same.
@@ -36,20 +36,34 @@ KEY_LINES, TASK_LINES = 512, 4_096
 #: Characters, and pairs, that are compared at a time.
 COMPARED, COMPARED_PAIRS = 1 << 22, 1 << 18
 #: Lines whose keys a task has sent lately and does not send again.
-REMEMBERED = 1 << 16
+REMEMBERED = 1 << 18
 #: Letters are counted in so many classes, for a bound on the edit distance.
 CLASSES = 32
+#: White space at a line's ends that is taken off character by character; beyond it all lines are searched for their words.
+MOST_STEPS = 32
 _STRIP = " \t\n\x0b\f\r"
 
 
 def trimmed(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Start, end, row and number of each line with a word, between its outer words."""
+    """Start, end, row and number of each line with a word, without white space at its ends."""
     starts, ends, rows = lines(data, offsets)
     number = np.arange(len(rows)) - np.searchsorted(rows, rows)
-    word_starts, word_ends, _ = words(data, offsets)
-    low, high = np.searchsorted(word_starts, starts), np.searchsorted(word_starts, ends) - 1
-    full = low <= high
-    return word_starts[low[full]], word_ends[high[full]], rows[full], number[full]
+    for edge, inside, step in ((starts, 0, 1), (ends, -1, -1)):
+        left = np.flatnonzero(starts < ends)
+        for _ in range(MOST_STEPS):  # most lines have no space at an end, few have several
+            left = left[SPACES[data[edge[left] + inside]]]
+            edge[left] += step
+            left = left[starts[left] < ends[left]]
+            if not len(left):
+                break
+        else:
+            filled = np.flatnonzero(~SPACES[data])
+            low, high = np.searchsorted(filled, starts), np.searchsorted(filled, ends) - 1
+            some = low <= high
+            starts[some], ends[some], ends[~some] = filled[low[some]], filled[high[some]] + 1, starts[~some]
+            break
+    full = starts < ends
+    return starts[full], ends[full], rows[full], number[full]
 
 
 def line_names(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -87,40 +101,51 @@ def alignments(threshold: int) -> list[tuple[int, int, int]]:
     return [(i, d, s) for i in every for d in every for s in range(-i, i + 1) if abs(s - d) <= threshold - i]
 
 
-def keys(rolling: Rolling, starts: np.ndarray, ends: np.ndarray, threshold: int, probe: bool) -> np.ndarray:
-    """(line, segment) keys to index, or (line, alignment) keys of the substrings to probe with; 0 where there is none."""
+def own_segments(threshold: int) -> list[tuple[int, int, int]]:
+    """The alignments under which a line holds its own segments: their keys are the ones it is indexed by."""
+    return [(i, 0, 0) for i in range(threshold + 1)]
+
+
+def keys(
+    rolling: Rolling, starts: np.ndarray, ends: np.ndarray, threshold: int, ways: list[tuple[int, int, int]], places: np.ndarray | None = None
+) -> np.ndarray:
+    """(line, alignment) keys of the substrings that may be a segment of another line; 0 where there is none. Starts and
+    ends count characters, `places` says where they begin in the bytes (None: each is one byte)."""
     length, parts = ends - starts, threshold + 1
-    ways = alignments(threshold) if probe else [(i, 0, 0) for i in range(parts)]
     found = np.zeros((len(starts), len(ways)), np.int64)
     for column, (i, shorter, shift) in enumerate(ways):
         other = length - shorter  # the indexed line's length
         at, size = segment(other, i, parts)
         ok = (other >= LEAST) & (at + shift >= 0) & (at + shift + size <= length)
         s, tag = (starts + at + shift)[ok], mix((other[ok] * parts + i).astype(np.uint64))
-        found[ok, column] = mix(rolling.spans(s, s + size[ok]) ^ tag).view(np.int64)
+        e = s + size[ok]
+        if places is not None:
+            s, e = places[s], places[e]
+        found[ok, column] = mix(rolling.spans(s, e) ^ tag).view(np.int64)
     return found
 
 
 def segment_keys(documents: DataFrame, threshold: int) -> DataFrame:
-    """key, u1 and kind (1: indexed, 2: probing) of the lines that are long enough; a line that repeats is sent once by a
-    task as long as it is remembered."""
+    """key, u1 and kind (3: a segment of the line, indexed and probed with; 2: probed with only) of the lines that are long
+    enough; a line that repeats is sent once by a task as long as it is remembered."""
+    own = own_segments(threshold)
+    others = [way for way in alignments(threshold) if way not in own]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(0, np.int64)
+        seen: set[int] = set()
         for batch in batches:
             for _, _, data, offsets in slices(pick(batch.column(2))):
                 starts, ends, _, _ = trimmed(data, offsets)
-                name = Rolling(data, 11).spans(starts, ends).view(np.int64)
-                letters, before = characters(data)
-                starts, ends = before[starts], before[ends]
-                long = np.flatnonzero(ends - starts >= LEAST)
-                at = long[np.unique(name[long], return_index=True)[1]]
-                at = at[~np.isin(name[at], seen)]
-                starts, ends, name = starts[at], ends[at], name[at]
-                seen = np.concatenate([seen, name])[-REMEMBERED:]
-                rolling = Rolling(letters, 11)
-                for kind in (1, 2):
-                    key = keys(rolling, starts, ends, threshold, kind == 2)
+                rolling, places = Rolling(data, 11), character_places(data)
+                first, last = (starts, ends) if places is None else (np.searchsorted(places, starts), np.searchsorted(places, ends))
+                long = np.flatnonzero(last - first >= LEAST)
+                name = rolling.spans(starts[long], ends[long]).view(np.int64)
+                new = [k for k, x in enumerate(name.tolist()) if x not in seen and not seen.add(x)]
+                if len(seen) > REMEMBERED:
+                    seen.clear()
+                first, last, name = first[long[new]], last[long[new]], name[new]
+                for kind, ways in ((3, own), (2, others)):
+                    key = keys(rolling, first, last, threshold, ways, places)
                     line, way = np.nonzero(key)
                     kinds = pa.array(np.full(len(line), kind, np.int8))
                     yield pa.RecordBatch.from_arrays([pa.array(key[line, way]), pa.array(name[line]), kinds], ["key", "u1", "kind"])
@@ -198,12 +223,15 @@ class Lines:
 
     def __init__(self, raw: pa.Array, threshold: int):
         offsets = np.append(0, np.cumsum(pc.binary_length(raw).to_numpy(zero_copy_only=False))).astype(np.int64)
-        self.letters, before = characters(np.frombuffer(b"".join(raw.to_pylist()), np.uint8))
-        self.starts, self.ends = before[offsets[:-1]], before[offsets[1:]]
+        data = np.frombuffer(b"".join(raw.to_pylist()), np.uint8)
+        places = character_places(data)
+        self.letters = characters(data, places)
+        edges = offsets if places is None else np.searchsorted(places, offsets)
+        self.starts, self.ends = edges[:-1], edges[1:]
         self.length = self.ends - self.starts
-        rolling = Rolling(self.letters, 11)
-        self.index = keys(rolling, self.starts, self.ends, threshold, False)
-        self.probe = keys(rolling, self.starts, self.ends, threshold, True)
+        rolling = Rolling(data, 11)
+        self.index = keys(rolling, self.starts, self.ends, threshold, own_segments(threshold), places)
+        self.probe = keys(rolling, self.starts, self.ends, threshold, alignments(threshold), places)
         owner = np.repeat(np.arange(len(raw)), self.length)
         kind = (mix(self.letters.astype(np.uint64)) % np.uint64(CLASSES)).astype(np.int64)
         self.classes = np.bincount(owner * CLASSES + kind, minlength=len(raw) * CLASSES).reshape(-1, CLASSES).astype(np.int32)
@@ -271,7 +299,9 @@ def linked_lines(documents: DataFrame, firsts: DataFrame, threshold: int = THRES
     every = segment_keys(documents, threshold)
     shared = every.groupBy("key").agg(F.min("u1").alias("low"), F.max("u1").alias("high"), F.bit_or("kind").alias("kinds"))
     shared = written(shared.where("low != high AND kinds = 3").select("key"), "shared-keys")
-    members = written(every.join(small_side(shared), "key").distinct(), "key-lines")
+    roles = F.when(F.col("kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(2)))
+    members = every.join(small_side(shared), "key").distinct().select("key", "u1", F.explode(roles).alias("kind"))
+    members = written(members.distinct(), "key-lines")
     ids = small_side(written(members.select("u1").distinct(), "line-ids"))
     where = small_side(written(firsts.join(ids, "u1", "left_semi").select(F.col("first.doc_id").alias("_doc")).distinct(), "line-documents"))
     texts = documents.join(where, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")

@@ -81,35 +81,31 @@ def lines(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, rows
 
 
-def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of each UTF-8 character as one number, and for each place in the bytes (and their end) how many
-    characters begin before it. Bytes below 0x80 only: the bytes themselves."""
+def character_places(data: np.ndarray) -> np.ndarray | None:
+    """Where each UTF-8 character begins, and the end; None where every byte is a character."""
     if not (data & 0x80).any():
-        return data, np.arange(len(data) + 1)
-    begins = (data & 0xC0) != 0x80
-    at = np.flatnonzero(begins)
+        return None
+    return np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))
+
+
+def characters(data: np.ndarray, places: np.ndarray | None) -> np.ndarray:
+    """The bytes of each character as one number."""
+    if places is None:
+        return data
+    at, size = places[:-1], np.diff(places)
     found = data[at].astype(np.uint32)
     for k in range(1, 4):
-        more = at + k < len(data)
-        more[more] = ~begins[at[more] + k]
-        if k > 1:
-            more &= held
+        more = np.flatnonzero(size > k)
         found[more] |= data[at[more] + k].astype(np.uint32) << np.uint32(8 * k)
-        held = more
-    return found, np.append(0, np.cumsum(begins))
+    return found
 
 
 class Rolling:
-    """Hash of any span of bytes or characters in constant time: sums of random 64-bit values times powers of an odd number."""
+    """Hash of any span of bytes in constant time: sums of random 64-bit values times powers of an odd number."""
 
     def __init__(self, data: np.ndarray, seed: int = 0):
         self.base = (_BASE * (2 * seed + 1)) | 1
-        if data.dtype == np.uint8:
-            values = seeded(seed + 1, 256)[data]
-        else:  # characters: those of one byte hash as that byte
-            wide = np.flatnonzero(data > 0x7F)
-            values = seeded(seed + 1, 256)[data & 0x7F]
-            values[wide] = mix(data[wide].astype(np.uint64) * np.uint64(_BASE) + np.uint64(seed))
+        values = seeded(seed + 1, 256)[data]
         values *= self._powers("up", self.base, len(data))
         self.sums = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(values, out=self.sums[1:])

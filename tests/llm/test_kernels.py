@@ -66,10 +66,22 @@ def test_segments_meet_for_every_pair_within_the_threshold():
         if a == b or len(a) < linededup.LEAST or distance(a, b) > 2:
             continue
         rolling = textbytes.Rolling(np.frombuffer(a + b, np.uint8), 11)
-        keys = lambda s, e, probe: set(linededup.keys(rolling, np.array([s]), np.array([e]), 2, probe)[0].tolist()) - {0}
+        keys = lambda s, e, probe: set(linededup.keys(rolling, np.array([s]), np.array([e]), 2, linededup.alignments(2) if probe else linededup.own_segments(2))[0].tolist()) - {0}
         assert keys(0, len(a), False) & keys(len(a), len(a) + len(b), True)
 
 
+@pytest.mark.parametrize("most", [1, 3, 32])
+def test_lines_without_white_space_at_their_ends(monkeypatch, most):
+    monkeypatch.setattr(linededup, "MOST_STEPS", most)
+    draw = random.Random(3)
+    texts = ["".join(draw.choice(" \t\r\n\nab é") * draw.choice([1, 1, 5]) for _ in range(draw.randint(0, 40))) for _ in range(200)]
+    data = "".join(texts).encode()
+    offsets = np.append(0, np.cumsum([len(t.encode()) for t in texts]))
+    got = [(data[a:b].decode(), r, n) for a, b, r, n in zip(*linededup.trimmed(np.frombuffer(data, np.uint8), offsets), strict=True)]
+    strip = " \t\n\x0b\f\r"
+    assert got == [(x.strip(strip), r, n) for r, t in enumerate(texts) for n, x in enumerate(t.split("\n")) if x.strip(strip)]
+
+
 def repetition_by_hand(text):
     text = text or ""
     words = re.findall(r"[^\x20\x09-\x0d]+", text)
