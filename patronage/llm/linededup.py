@@ -34,9 +34,9 @@ LEAST = 20
 #: Lines of one key that a task takes as a whole; larger keys are compared in blocks of so many. Lines of a task with many keys.
 KEY_LINES, TASK_LINES = 512, 4_096
 #: Characters, and pairs, that are compared at a time.
-COMPARED, COMPARED_PAIRS = 1 << 22, 1 << 18
+COMPARED, COMPARED_PAIRS = 1 << 19, 1 << 14
 #: Lines whose keys a task has sent lately and does not send again.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 16
 #: Letters are counted in so many classes, for a bound on the edit distance.
 CLASSES = 32
 #: White space at a line's ends that is taken off character by character; beyond it all lines are searched for their words.
