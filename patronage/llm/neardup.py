@@ -188,25 +188,25 @@ def shingle_sets(documents: DataFrame) -> DataFrame:
 
 
 def likely(pairs: DataFrame, sketches: DataFrame, least: float = LEAST_ESTIMATE) -> DataFrame:
-    """Pairs (a, b) whose registers agree in at least this share."""
+    """Pairs (a, b) whose registers agree in at least this share, and whether neither repeats a shingle (`plain`)."""
 
     def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = (np.frombuffer(b"".join(pick(batch.column(c)).to_pylist()), np.uint16).reshape(-1, REGISTERS) for c in (2, 3))
             mask = (a == b).mean(1) >= least
-            yield pa.RecordBatch.from_arrays([c.filter(pa.array(mask)) for c in batch.columns[:2]], ["a", "b"])
+            kept = [batch.column(c).filter(pa.array(mask)) for c in (0, 1, 4)]
+            yield pa.RecordBatch.from_arrays(kept, ["a", "b", "plain"])
 
-    one = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa"))
-    two = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb"))
-    return map_arrow(pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb"), agree, "a long, b long")
+    one = sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sa"), F.col("plain").alias("plain_a"))
+    two = sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sb"), F.col("plain").alias("plain_b"))
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "sa", "sb", (F.col("plain_a") & F.col("plain_b")).alias("plain"))
+    return map_arrow(both, agree, "a long, b long, plain boolean")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, least: float = LEAST) -> DataFrame:
-    """Pairs whose weighted shingles have this similarity or more. Pairs without repeated shingles are compared as sets by
-    SQL expressions, the others in tasks."""
-    flag = lambda n: sets.select(F.col("node").alias(n), F.col("weights").isNull().alias(f"{n}_plain"))
-    flagged = pairs.join(flag("a"), "a").join(flag("b"), "b").select("a", "b", (F.col("a_plain") & F.col("b_plain")).alias("plain"))
-    flagged = written(flagged, "flagged-pairs")
+    """Pairs (a, b, plain) whose weighted shingles have this similarity or more. Pairs without repeated shingles (plain) are
+    compared as sets by SQL expressions, the others in tasks."""
+    flagged = written(pairs, "flagged-pairs")
     one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("weights").alias("wa"))
     two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("weights").alias("wb"))
     shared = F.size(F.array_intersect("sa", "sb"))
@@ -369,13 +369,15 @@ def text_classes(documents: DataFrame, least: float) -> DataFrame:
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ids, F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi")
     sets = shingle_sets(texts).dropDuplicates(["u1", "u2"]).join(nodes, ["u1", "u2"]).select("node", "shingles", "weights")
     sets = written(sets, "node-shingles")
+    own = written(own.join(sets.select("node", F.col("weights").isNull().alias("plain")), "node"), "node-registers")
 
     pivots = members.groupBy("band").agg(F.min("node").alias("pivot"))
     star = members.join(pivots, "band").where("node != pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
     star = written(star, "pairs")
     links = written(verified(likely(star, own), sets, least), "links")
     labels = components(links)
-    spread = F.pmod(F.xxhash64("node", "band"), F.lit(1 << 30)) / float(1 << 30)
+    # by the node alone: texts that share several buckets meet the same pivots there, and a pair is one however many they are
+    spread = F.pmod(F.xxhash64("node"), F.lit(1 << 30)) / float(1 << 30)
     left = written(mixed(members, labels).withColumn("spread", spread), "mixed-buckets")
     pivots = left.where(F.col("spread") < PIVOTS / F.col("n")).select("band", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
     pairs = left.join(pivots, "band").where("label != pivot_label").select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
