@@ -20,7 +20,7 @@ class Contract:
 _TYPES = {
     "string": T.StringType(), "bigint": T.LongType(), "int": T.IntegerType(), "double": T.DoubleType(),
     "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
-    "timestamp_ntz": T.TimestampNTZType(), "binary": T.BinaryType(),
+    "timestamp_ntz": T.TimestampNTZType(), "binary": T.BinaryType(), "amount": T.DecimalType(38, 6),
 }
 
 

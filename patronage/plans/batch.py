@@ -68,6 +68,13 @@ C360_SQL = given("order_events", "silver_customers", "activation_summary") + _C3
     messages="COALESCE(a.delivered_messages, 0) AS delivered_messages, COALESCE(a.failed_messages, 0) AS failed_messages",
     join="LEFT JOIN activation_summary a ON o.customer_id = a.customer_id",
 )
+C360_MOVED_SQL = given("newest_orders", "silver_customers", "activation_summary") + _C360.replace(
+    "FROM order_events", "FROM newest_orders"
+).format(
+    ltv=money("order_total"),
+    messages="COALESCE(a.delivered_messages, 0) AS delivered_messages, COALESCE(a.failed_messages, 0) AS failed_messages",
+    join="LEFT JOIN activation_summary a ON o.customer_id = a.customer_id",
+)
 C360_NO_ACTIVATIONS_SQL = given("order_events", "silver_customers") + _C360.format(
     ltv=money("order_total"), join="",
     messages="CAST(0 AS BIGINT) AS delivered_messages, CAST(0 AS BIGINT) AS failed_messages",

@@ -69,6 +69,15 @@ def resent_orders(spark: SparkSession, sf_dir: str, scale: int = 1) -> DataFrame
     )
 
 
+def moved_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh order, sent again later under the next customer, dearer and with an earlier time."""
+    again = order_events(spark, sf_dir).where("bigint(order_id) % 7 = 0")
+    return again.withColumns({
+        "source_seq": again["source_seq"] + 10**12, "customer_id": (again["customer_id"].cast("bigint") + 1).cast("string"),
+        "order_total": again["order_total"] + 1.0, "placed_at": again["placed_at"] - 864_000_000,
+    })
+
+
 def activation_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     delivered = "event_type IN ('click', 'view', 'purchase')"
     return table(spark, sf_dir, "events").selectExpr(

@@ -20,6 +20,12 @@ order_events AS (
          (epoch_us(o_orderdate) // 1000) + (o_orderkey * 1237) % 86400000 AS placed_at,
          'SKU-' || CAST(o_orderkey % 6 AS VARCHAR) AS sku
   FROM orders)"""
+NEWEST_ORDERS = """
+newest_orders AS (
+  SELECT order_id, customer_id, order_total, placed_at FROM order_events WHERE CAST(order_id AS BIGINT) % 7 <> 0
+  UNION ALL
+  SELECT order_id, CAST(CAST(customer_id AS BIGINT) + 1 AS VARCHAR), order_total + 1.0, placed_at - 864000000
+  FROM order_events WHERE CAST(order_id AS BIGINT) % 7 = 0)"""
 RESENT_ORDERS = """
 resent_orders AS (
   SELECT CAST(l_orderkey AS VARCHAR) AS order_id, CAST(l_suppkey AS VARCHAR) AS customer_id,
@@ -86,6 +92,7 @@ serving AS (
 
 _STEPS = {
     "order_events": (ORDER_EVENTS, ()),
+    "newest_orders": (NEWEST_ORDERS, ("order_events",)),
     "resent_orders": (RESENT_ORDERS, ()),
     "activation_events": (ACTIVATION_EVENTS, ()),
     "profile_events": (PROFILE_EVENTS, ()),

@@ -116,6 +116,25 @@ def gold_c360_stream(spark: SparkSession, sf: str) -> DataFrame:
     return V.with_last_order_ts(p.lake.read("gold", "c360").drop("updated_at"))
 
 
+def run_gold_totals(spark: SparkSession, sf: str, name: str) -> Pipeline:
+    """The lake path with gold kept by differences: both halves of the events, then orders that move."""
+    p = new_pipeline(spark, name)
+    facts = [lambda: p.run_facts("orders"), lambda: p.run_facts("activations")]
+    steps = [_to_bronze(p), _to_silver(p), facts, [p.run_gold_totals]]
+    arrive_and_run(p, sf, ALL, steps)
+    append_records(as_records(I.moved_orders(spark, sf), ORDER.key), p.topics[ORDER.name])
+    for stage in steps:
+        p.finish(*[step() for step in stage])
+    return p
+
+
+@query("gold_totals_stream", B.C360_MOVED_SQL)
+def gold_totals_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold after orders moved to other customers, earlier times and other amounts."""
+    p = run_gold_totals(spark, sf, "gold_totals")
+    return V.with_last_order_ts(p.lake.read("gold", "c360").drop("updated_at"))
+
+
 def after_each_gold_batch(
     spark: SparkSession, sf: str, name: str, steps: Sequence[Callable[[Pipeline], StreamingQuery]], scale: int = 1
 ) -> Pipeline:

@@ -28,6 +28,13 @@ def _table(layer: str, name: str, ddl: str, keys: tuple[str, ...], **more) -> Ke
     return KeyedTable(layer, name, columns_of(ddl), keys, **more)
 
 
+def _facts(name: str, key: str, ddl: str) -> KeyedTable:
+    """What the totals count: the newest row of each id, with the one it replaced."""
+    row = columns_of(f"source_seq bigint, {ddl}").fields
+    columns = [T.StructField(key, T.StringType()), *row, T.StructField("before", T.StructType(row))]
+    return KeyedTable("gold", name, T.StructType(columns), (key,), cluster_by=key)
+
+
 _ARRIVAL = ", ingested_at timestamp, source_seq bigint"
 _METRICS = "lifetime_value double, order_count bigint"
 _NAMES = "email string, first_name string, last_name string"
@@ -58,6 +65,14 @@ TABLES = {
             "last_order_at timestamp, delivered_messages bigint, failed_messages bigint, updated_at timestamp, removed boolean",
             ("customer_id",), deleted="removed",
         ),
+        _facts("orders_facts", "order_id", "customer_id string, order_total double, placed_at timestamp"),
+        _facts("activations_facts", "activation_id", "customer_id string, status string"),
+        _table(
+            "gold", "totals",
+            "customer_id string, order_value amount, valued_orders bigint, order_count bigint, last_order_at timestamp, "
+            "delivered_messages bigint, failed_messages bigint, applied string",
+            ("customer_id",),
+        ),
         _table(
             "live", "profile",
             f"customer_id string, {_NAMES}, created_at bigint, lifecycle_stage string, is_active boolean",
