@@ -282,6 +282,19 @@ def recent_customers_indexed_stream(spark: SparkSession, sf: str) -> DataFrame:
     return p.recent_customers()
 
 
+@query("lookup_served_stream", given("serving") + """
+SELECT customer_id, order_count, lifetime_value, last_order_ts, NULLIF(first_name, '') AS first_name, last_name, email,
+       lifecycle_stage, is_active, delivered_messages, failed_messages, CAST(NULL AS BIGINT) AS last_engagement_ts
+FROM serving WHERE customer_id IN ('42', 'S-7')""")
+def lookup_served_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """Two customers looked up in the written serving table, one with orders and one known by profile only."""
+    p = new_pipeline(spark, "lookup")
+    for part in recency_messages(spark, sf):
+        append_records(part, p.published_path("c360"))
+        p.finish(p.run_serving())
+    return p.customer("42").unionByName(p.customer(" S-7 "))
+
+
 # -- live path --------------------------------------------------------------------------------------------------
 
 

@@ -330,6 +330,10 @@ class Pipeline:
             raise ValueError(f"the index keeps {self.keep_recent} customers")
         return R.recent_from_index(self.lake.read_or_empty("serving", "recent"), n)
 
+    def customer(self, customer_id: str) -> DataFrame:
+        """The serving row of one customer, without looking through the others."""
+        return self.lake.lookup("serving", "customers", customer_id).drop("applied")
+
     def run_publish_stages(self, topic: str | None = None) -> StreamingQuery:
         """Stage events as profile messages."""
         rows = self._changes("live", "stage_events")

@@ -70,10 +70,10 @@ def test_point_read_scans_one_bucket(spark, root):
 
 def test_removed_rows(spark, root, rows_of):
     schema = ("customer_id string, order_count bigint, lifetime_value double, last_order_ts bigint, first_name string, last_name string, email string, "
-              "lifecycle_stage string, is_active boolean, delivered_messages bigint, failed_messages bigint, last_engagement_ts bigint, removed boolean")
+              "lifecycle_stage string, is_active boolean, delivered_messages bigint, failed_messages bigint, last_engagement_ts bigint, applied string, removed boolean")
 
     def row(c, removed):
-        return (c, 1, 1.0, 1, None, None, None, None, None, 0, 0, None, removed)
+        return (c, 1, 1.0, 1, None, None, None, None, None, 0, 0, None, None, removed)
 
     lake = Lake(spark, root)
     lake.upsert_batch(spark.createDataFrame([row("a", False), row("b", False)], schema), 0, "serving", "customers")
