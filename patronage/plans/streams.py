@@ -35,7 +35,7 @@ def _events(spark: SparkSession, sf: str, spec: Contract, scale: int) -> DataFra
 def new_pipeline(spark: SparkSession, name: str) -> Pipeline:
     root = workspace(spark, name)
     topics = {s.name: fs.make_dir(spark, f"{root}/topics/{s.name}") for s in (PROFILE, ORDER, ACTIVATION)}
-    return Pipeline(spark, root, topics, buckets=16, compact_every=2)
+    return Pipeline(spark, root, topics, fmt="parquet", buckets=16, compact_every=2)
 
 
 def arrive_and_run(
@@ -47,7 +47,7 @@ def arrive_and_run(
     cut = next(iter(events.values())).agg(F.percentile_approx("source_seq", 0.5)).first()[0]
     for half in (F.col("source_seq") <= cut, F.col("source_seq") > cut):
         for spec in specs:
-            append_records(as_records(events[spec.name].where(half), spec.key), p.topics[spec.name])
+            append_records(as_records(events[spec.name].where(half), spec.key), p.topics[spec.name], p.fmt)
         for stage in stages:
             p.finish(*[step() for step in stage])
 
@@ -122,7 +122,7 @@ def run_gold_totals(spark: SparkSession, sf: str, name: str) -> Pipeline:
     facts = [lambda: p.run_facts("orders"), lambda: p.run_facts("activations")]
     steps = [_to_bronze(p), _to_silver(p), facts, [p.run_gold_totals]]
     arrive_and_run(p, sf, ALL, steps)
-    append_records(as_records(I.moved_orders(spark, sf), ORDER.key), p.topics[ORDER.name])
+    append_records(as_records(I.moved_orders(spark, sf), ORDER.key), p.topics[ORDER.name], p.fmt)
     for stage in steps:
         p.finish(*[step() for step in stage])
     return p
