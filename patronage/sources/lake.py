@@ -19,14 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronage.operators.keyed import latest_row
-from patronage.operators.skew import restrict_to_keys
+from patronage.operators.skew import BROADCAST_KEYS, restrict_to_keys
 from patronage.sources import fs
 from patronage.sources.layout import TABLES, KeyedTable
 
 
 @dataclass(frozen=True)
 class Scope:
-    """Keys a read is restricted to, how many they are, and the buckets they fall into (None: most of them)."""
+    """Keys a read is restricted to, how many they are at most, and the buckets they fall into (None: most of them)."""
 
     keys: DataFrame
     count: int
@@ -35,6 +35,10 @@ class Scope:
     def prune(self) -> Column | None:
         return None if self.buckets is None else F.col("bucket").isin(list(self.buckets))
 
+    @property
+    def large(self) -> bool:
+        return self.count > BROADCAST_KEYS
+
 
 class Lake:
     def __init__(self, spark: SparkSession, root: str, buckets: int = 64):
@@ -60,12 +64,18 @@ class Lake:
 
     # -- reading --------------------------------------------------------------------------------------------
 
-    def _changes(self, table: KeyedTable, after: int) -> DataFrame:
+    def _no_rows(self, schema: T.StructType) -> DataFrame:
+        """Known to be empty when a query is planned, so that joins with it fall away."""
+        nothing = self.spark.range(1).where(F.lit(False))
+        return nothing.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    def _changes(self, table: KeyedTable, after: int, before: int | None = None) -> DataFrame:
         where = self.path(table.layer, table.name, "changes")
-        paths = [f"{where}/batch={b}" for b in self.batches(table.layer, table.name) if b > after]
+        numbers = self.batches(table.layer, table.name)
+        paths = [f"{where}/batch={b}" for b in numbers if b > after and (before is None or b < before)]
         full = T.StructType([*table.schema.fields, T.StructField("batch", T.LongType())])
         if not paths:
-            return self.spark.createDataFrame([], full)
+            return self._no_rows(full)
         return self.spark.read.schema(full).option("basePath", where).parquet(*paths)
 
     def _base(self, table: KeyedTable, prune: Column | None) -> tuple[DataFrame | None, int]:
@@ -82,9 +92,10 @@ class Lake:
             return base.drop("bucket"), bases[-1]
         return base.where(prune).drop("bucket"), bases[-1]
 
-    def scope(self, keys: DataFrame) -> Scope:
-        """Restriction to the values of a one-column frame; one number per bucket comes to the driver."""
-        wanted = keys.dropna().distinct()
+    def scope(self, keys: DataFrame, distinct: bool = False) -> Scope:
+        """Restriction to the values of a one-column frame; one number per bucket comes to the driver. `distinct` says that
+        hardly any value comes twice, which saves a shuffle."""
+        wanted = keys.dropna() if distinct else keys.dropna().distinct()
         rows = wanted.groupBy(self.bucket(F.col(keys.columns[0])).alias("bucket")).count().collect()
         found = tuple(sorted(r["bucket"] for r in rows))
         return Scope(wanted, sum(r["count"] for r in rows), None if len(found) > self.buckets // 2 else found)
@@ -119,11 +130,12 @@ class Lake:
     def _shown(table: KeyedTable) -> list[str]:
         return [c for c in table.schema.fieldNames() if c != table.deleted]
 
-    def read(self, layer: str, name: str, within: Scope | None = None) -> DataFrame:
-        """Current rows, restricted to the `cluster_by` values in scope when given."""
+    def read(self, layer: str, name: str, within: Scope | None = None, exact: bool = True) -> DataFrame:
+        """Current rows, restricted to the `cluster_by` values in scope when given. Not `exact`: a scope too large to be
+        broadcast only prunes buckets, for callers that join with its keys once they have one row per key."""
         table = TABLES[layer, name]
-        if within is None:
-            rows = self._current(table)
+        if within is None or (within.large and not exact):
+            rows = self._current(table, within and within.prune())
         else:
             rows = self._current(
                 table, within.prune(),
@@ -131,12 +143,12 @@ class Lake:
             )
         return self._live(table, rows).select(*self._shown(table))
 
-    def read_or_empty(self, layer: str, name: str, within: Scope | None = None) -> DataFrame:
+    def read_or_empty(self, layer: str, name: str, within: Scope | None = None, exact: bool = True) -> DataFrame:
         """As `read`; a table nobody has written yet has no rows. Both cases have the same schema."""
         if self.exists(layer, name):
-            return self.read(layer, name, within)
+            return self.read(layer, name, within, exact)
         table = TABLES[layer, name]
-        return self.spark.createDataFrame([], table.schema).select(*self._shown(table))
+        return self._no_rows(table.schema).select(*self._shown(table))
 
     def lookup(self, layer: str, name: str, value: str) -> DataFrame:
         """Rows of one `cluster_by` value, blanks around it ignored: the base scan reads a single bucket directory, and every
@@ -147,9 +159,9 @@ class Lake:
         )
         return self._live(table, rows).select(*self._shown(table))
 
-    def versions(self, layer: str, name: str) -> DataFrame:
-        """Every version ever written of every key, from the change batches."""
-        return self._changes(TABLES[layer, name], -1)
+    def versions(self, layer: str, name: str, before: int | None = None) -> DataFrame:
+        """Every version ever written of every key, from the change batches, or from those with a lower number."""
+        return self._changes(TABLES[layer, name], -1, before)
 
     def read_changes(self, layer: str, name: str, **options: str) -> DataFrame:
         """The table as a stream: one row per key and batch. Rows may repeat if a writer died while committing, so

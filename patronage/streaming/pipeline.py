@@ -170,17 +170,20 @@ class Pipeline:
         """
         changed = J.merge_streams(
             customers=self._changes("silver", "customers").select("customer_id"),
-            orders=self._changes("silver", "orders").select("customer_id", "order_id"),
-            activations=self._changes("silver", "activations").select("customer_id", "activation_id"),
+            orders=self._changes("silver", "orders").select("customer_id", "order_id", "batch"),
+            activations=self._changes("silver", "activations").select("customer_id", "activation_id", "batch"),
         )
 
         def refresh(batch: DataFrame, batch_id: int) -> None:
             keys = batch.select("customer_id")
             if follow_moves:
+                # a change batch holds a key once, so the former owners stand in batches before the newest one here
+                newest = {r["kind"]: r["newest"] for r in batch.groupBy("kind").agg(F.max("batch").alias("newest")).collect()}
                 for name, key in (("orders", "order_id"), ("activations", "activation_id")):
-                    ids = batch.where(F.col(key).isNotNull()).select(key).distinct()
-                    owners = self.lake.versions("silver", name).select(key, "customer_id")
-                    keys = keys.unionByName(owners.join(ids, key, "left_semi").select("customer_id"))
+                    if newest.get(name):
+                        ids = batch.where(F.col(key).isNotNull()).select(key)
+                        owners = self.lake.versions("silver", name, newest[name]).select(key, "customer_id")
+                        keys = keys.unionByName(owners.join(ids, key, "left_semi").select("customer_id"))
             keys = keys.where(F.col("customer_id").isNotNull()).distinct().persist()
             try:
                 within = self.lake.scope(keys)
@@ -191,13 +194,16 @@ class Pipeline:
             finally:
                 keys.unpersist()
 
-        return self.each_batch(changed, "gold_c360", refresh)
+        return self.each_batch(changed, "gold_c360", refresh, reread=False)
 
     def gold_rows(self, within: Scope | None = None) -> DataFrame:
         customers, orders, activations = [
-            self.lake.read_or_empty("silver", name, within) for name in ("customers", "orders", "activations")
+            self.lake.read_or_empty("silver", name, within, exact=False) for name in ("customers", "orders", "activations")
         ]
         rows = J.build_c360(customers, orders, activations, unique_orders=True)
+        if within is not None and within.large:
+            # after the aggregates, whose shuffle it shares and which a hot customer cannot skew
+            rows = rows.join(within.keys, "customer_id", "left_semi")
         return rows.withColumn("updated_at", F.current_timestamp())
 
     def run_facts(self, name: str) -> StreamingQuery:
@@ -206,10 +212,11 @@ class Pipeline:
         table = f"{name}_facts"
 
         def note(batch: DataFrame, batch_id: int) -> None:
-            stored = self.lake.read_or_empty("gold", table, self.lake.scope(batch.select(key)))
+            stored = self.lake.read_or_empty("gold", table, self.lake.scope(batch.select(key), distinct=True), exact=False)
             self._upsert(D.with_images(stored, batch, key, columns), batch_id, "gold", table)
 
-        return self.each_batch(self._changes("silver", name).select(key, *columns, "source_seq", "batch"), table, note)
+        changes = self._changes("silver", name).select(key, *columns, "source_seq", "batch")
+        return self.each_batch(changes, table, note, reread=False)
 
     def run_gold_totals(self) -> StreamingQuery:
         """Gold by differences, in place of `run_gold`: totals per customer take back what changed orders and messages
@@ -231,7 +238,7 @@ class Pipeline:
             totals = D.apply_differences(read("gold", "totals", within), changes, f"{self._writer(batch)}-{batch_id}").persist()
             try:
                 lost = self.lake.scope(totals.where("_lost").select("customer_id"))
-                whole = D.with_newest_orders(totals, read("silver", "orders", lost)) if lost.count else totals
+                whole = D.with_newest_orders(totals, read("silver", "orders", lost, exact=False)) if lost.count else totals
                 self._upsert(whole, batch_id, "gold", "totals")
                 rows = D.c360_of_totals(read("gold", "totals", within), read("silver", "customers", within))
                 changed = D.changed_rows(read("gold", "c360", within), rows, "customer_id")
@@ -240,7 +247,7 @@ class Pipeline:
                 changes.unpersist()
                 totals.unpersist()
 
-        return self.each_batch(merged, "gold_totals", refresh)
+        return self.each_batch(merged, "gold_totals", refresh, reread=False)
 
     # -- publishing -----------------------------------------------------------------------------------------
 

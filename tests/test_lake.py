@@ -147,3 +147,15 @@ def test_a_base_with_another_bucket_count_is_read_whole(spark, root, rows_of):
     wide.compact("silver", "customers")
     other = Lake(spark, root, buckets=64)
     assert all(other.lookup("silver", "customers", f"c{i}").count() == 1 for i in range(0, 20, 4))
+
+
+def test_a_scope_too_large_to_broadcast_is_read_whole_unless_it_must_be_exact(spark, root, rows_of, monkeypatch):
+    lake = Lake(spark, root, buckets=4)
+    lake.upsert_batch(profiles(spark, ("a", "a1", 1), ("b", "b1", 2)), 0, "silver", "customers")
+    monkeypatch.setattr("patronage.sources.lake.BROADCAST_KEYS", 0)
+    few = lake.scope(spark.createDataFrame([("a",), ("a",), (None,)], "customer_id string"), distinct=True)
+    assert few.large and few.count == 2
+    for exact, found in ((True, [("a",)]), (False, [("a",), ("b",)])):
+        assert rows_of(lake.read_or_empty("silver", "customers", few, exact), "customer_id") == found
+    plan = lake.read_or_empty("silver", "orders", few).join(lake.read("silver", "customers"), "customer_id")
+    assert "LocalTableScan <empty>" in plan._jdf.queryExecution().executedPlan().toString()

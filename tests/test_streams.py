@@ -322,3 +322,35 @@ def test_recent_customers_come_from_the_index(pipe, root):
     assert files and all("/serving/recent/" in f for f in files)
     with pytest.raises(ValueError):
         pipe.recent_customers(3)
+
+
+def gold_in_one_round(pipe):
+    for spec in (PROFILE, ORDER, ACTIVATION):
+        pipe.finish(pipe.run_bronze(spec))
+    for name in ("customers", "orders", "activations"):
+        pipe.finish(pipe.run_silver(name))
+    pipe.finish(pipe.run_gold())
+    return pipe.lake.read("gold", "c360")
+
+
+def test_gold_of_many_customers_looks_for_no_hot_keys(spark, pipe, rows_of, monkeypatch):
+    """Beyond what is broadcast, orders are summed up first and then restricted to the customers of the batch; the history
+    of a table is read only before the newest change batch, so not at all in the first round."""
+    history, versions = [], type(pipe.lake).versions
+
+    def noted(lake, layer, name, *before):
+        history.append((name, *before))
+        return versions(lake, layer, name, *before)
+
+    monkeypatch.setattr(type(pipe.lake), "versions", noted)
+    monkeypatch.setattr("patronage.sources.lake.BROADCAST_KEYS", 0)
+    monkeypatch.setattr("patronage.operators.skew.restrict_to_keys.__defaults__", (0,))
+    monkeypatch.setattr("patronage.operators.skew.hot_keys", lambda *_: pytest.fail("a sketch reads the orders again"))
+    pipe.options, pipe.hop_options = {}, {}
+    drop(pipe.topics["order"], 0, ORDER, ORDERS[:3])
+    assert rows_of(gold_in_one_round(pipe), "customer_id", "order_count") == [("a", 1), ("b", 1), ("ghost", 1)]
+    assert history == []
+    moved = [(20, {**ORDERS[0][1], "customer_id": "b"}), (21, {**ORDERS[2][1], "order_id": "o9", "customer_id": "new"})]
+    drop(pipe.topics["order"], 1, ORDER, moved)
+    assert rows_of(gold_in_one_round(pipe), "customer_id", "order_count") == [("b", 2), ("ghost", 1), ("new", 1)]
+    assert history == [("orders", 1)]
