@@ -26,7 +26,7 @@ def written(frame: DataFrame, purpose: str) -> DataFrame:
     """The frame as a Parquet table in the shared folder: cuts the lineage, survives lost executors, is worked out once."""
     spark = frame.sparkSession
     path = workspace(spark, f"llm-{purpose}")
-    frame.write.parquet(path)
+    frame.write.option("parquet.block.size", WRITTEN_BYTES).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
@@ -80,13 +80,19 @@ def rank_in_groups(
 _shipped: set[str] = set()
 #: Rows and bytes of an Arrow batch, where the session has Spark's default of rows: texts are long, and both sides hold batches.
 BATCH_ROWS, BATCH_BYTES = 2_000, "4m"
+#: Rows a Parquet scan decodes at a time, where the session has Spark's default: 4,096 texts are arrays of tens of MB a task.
+SCANNED_ROWS = 512
+#: Bytes of a row group of written tables, which a writing task holds in memory.
+WRITTEN_BYTES = 16 << 20
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the executors, once per application, and keeps Arrow batches small."""
+    """Sends this package to the executors, once per application, and keeps Arrow and scan batches small."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000") == "10000":
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    if spark.conf.get("spark.sql.parquet.columnarReaderBatchSize", "4096") == "4096":
+        spark.conf.set("spark.sql.parquet.columnarReaderBatchSize", SCANNED_ROWS)
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         package = Path(patronage.__file__).parent

@@ -135,6 +135,19 @@ def test_encoder_equals_a_fresh_library_on_added_tokens(file, style):
     assert [np.frombuffer(encode([x])[0], "<u2").tolist() for x in texts] == expected
 
 
+def test_encoder_keeps_pieces_it_meets_again():
+    encode = Encoder(tokenizer_path("byte_bpe_50k.json"), "byte", remembered=20)
+    encoded = []
+    encode._piece = lambda piece, found=encode._piece: encoded.append(piece) or found(piece)
+    encode.known.find = encode._piece
+    for k in range(40):
+        text = "The same words come again " + " ".join(chr(97 + k % 26) * (j + k // 26 + 1) for j in range(4))
+        ids = encode.library.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode([text])[0], "<u2").tolist() == ids
+        assert len(encode.known) <= 10 + 9
+    assert [encoded.count(x) for x in ("The", " same", " words", " come", " again")] == [1] * 5
+
+
 def test_encoder_refuses_ids_that_do_not_fit():
     with pytest.raises(ValueError):
         Encoder(tokenizer_path("byte_bpe_50k.json"), "byte", "<u1")

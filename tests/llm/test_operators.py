@@ -468,6 +468,22 @@ def test_near_duplicate_blocks(spark, monkeypatch):
         assert {(r.a, r.b) for r in neardup.compared(members, shingles).collect()} == want and want
 
 
+def test_written_tables_and_scans_hold_few_bytes_at_a_time(spark, monkeypatch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from patronage.llm import common
+
+    common.ship(spark)
+    assert spark.conf.get("spark.sql.parquet.columnarReaderBatchSize") == "512"
+    monkeypatch.setattr(common, "WRITTEN_BYTES", 1 << 16)
+    made = common.written(spark.range(0, 100_000, 1, 1).selectExpr("id", "uuid() AS text"), "row-groups")
+    (file,) = made.inputFiles()
+    assert pq.ParquetFile(glob.glob(file.removeprefix("file://"))[0]).num_row_groups > 1
+    assert made.agg({"id": "sum"}).first()[0] == sum(range(100_000))
+
+
 def test_ranks_split_a_key_of_equal_rows(spark):
     from pyspark.sql import functions as F
 
