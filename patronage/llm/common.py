@@ -22,9 +22,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(frame: DataFrame, purpose: str) -> DataFrame:
-    """The frame as a Parquet table in the shared folder: cuts the lineage, survives lost executors, is worked out once."""
+def written(frame: DataFrame, purpose: str, rows: int | None = None) -> DataFrame:
+    """The frame as a Parquet table in the shared folder: cuts the lineage, survives lost executors, is worked out once.
+    Where it is known to have no more than `rows` rows, a task takes ROWS_PER_TASK of them, so small tables are few files."""
     spark = frame.sparkSession
+    if rows is not None:
+        frame = frame.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
     path = workspace(spark, f"llm-{purpose}")
     frame.write.option("parquet.block.size", WRITTEN_BYTES).parquet(path)
     return spark.read.schema(frame.schema).parquet(path)

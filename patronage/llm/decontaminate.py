@@ -63,15 +63,14 @@ def find_overlaps(documents: DataFrame, benchmark: DataFrame, least_words: int =
     index = written(index.where("key IS NOT NULL"), "benchmark-seeds")
 
     hashed = documents.select("doc_id", F.transform(word_array(F.col("text")), lambda w: F.xxhash64(w)).alias("h"))
-    keyed = hashed.select("doc_id", F.array(*[F.size("h") - max(m) for _, m, _ in masks]).alias("n"), F.concat(*[seeds(F.col("h"), i, m) for i, m, _ in masks]).alias("keys"))
-    # outer: a plain generator adds a filter on its array, which is pushed down and works out the hashes for each window
-    rows = keyed.select("doc_id", *[F.greatest(F.get("n", F.lit(k)), F.lit(0)).alias(f"n{k}") for k in range(len(masks))], F.posexplode_outer("keys").alias("at", "key"))
-    place = F.col("at")
-    before = F.lit(0)
-    for k in range(len(masks) - 1):  # places under a mask follow those under the masks before it
-        before = before + F.col(f"n{k}")
-        place = F.when(F.col("at") >= before, F.col("at") - before).otherwise(place)
-    hits = rows.join(small_side(index), "key").select("doc_id", "item_id", (place - F.col("item_at")).alias("first_word")).distinct()
+    # outer: a plain generator adds a filter on its array, which is pushed down and works out the hashes for each window.
+    # The words of a window stand side by side in a row, so that its keys are compiled: a function of arrays boxes each value.
+    apart = sorted({o for _, m, _ in masks for o in m})
+    beside = F.arrays_zip(*[F.slice("h", o + 1, F.size("h")).alias(f"h{o}") for o in apart])
+    windows = hashed.select("doc_id", F.size("h").alias("n"), F.posexplode_outer(beside).alias("at", "w"))
+    keys = [F.when(F.col("at") + max(m) < F.col("n"), F.xxhash64(F.lit(i), *[F.col("w")[f"h{o}"] for o in m])) for i, m, _ in masks]
+    rows = windows.select("doc_id", "at", F.explode_outer(F.array(*keys)).alias("key"))
+    hits = rows.join(small_side(index), "key").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("first_word")).distinct()
     hits = written(hits, "benchmark-hits")
 
     hits = small_side(hits).withColumnRenamed("doc_id", "_doc")

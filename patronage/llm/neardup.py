@@ -328,14 +328,15 @@ def compared(members: DataFrame, sets: DataFrame, least: float = LEAST) -> DataF
 def components(links: DataFrame) -> DataFrame:
     """node, label: the least node each linked node is connected to. Labels spread along links and jump to their own
     label's label, so rounds grow with the logarithm of a component's diameter; each round is a written table."""
-    both = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels")
+    most = 2 * links.count()  # of a written table, so no links are worked out for it
+    both = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "links", most)
+    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("label")), "labels", most)
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         step = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("low"))
         to = labels.select(F.col("node").alias("low"), F.col("label").alias("lower"))
         step = step.join(to, "low").select("node", F.least("low", "lower").alias("label"), (F.least("low", "lower") < F.col("label")).alias("moved"))
-        step = written(step, "labels")
+        step = written(step, "labels", most)
         labels = step.select("node", "label")
         if step.where("moved").isEmpty():
             return labels

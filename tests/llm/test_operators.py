@@ -323,6 +323,29 @@ def test_decontamination(spark, odd, empty):
     assert [r.text for r in decontaminate.without_overlaps(hidden, benchmark).collect()] == ["clean text"]
 
 
+def test_windows_are_hashed_in_compiled_code(spark, monkeypatch):
+    frames = {}
+    monkeypatch.setattr(decontaminate, "written", lambda frame, purpose: frames.setdefault(purpose, frame))
+    item = "one two three four five six seven eight nine ten"
+    documents = spark.createDataFrame([(1, f"zero {item.upper()} eleven"), (2, "one two three"), (3, None)], "doc_id long, text string")
+    found = decontaminate.find_overlaps(documents, spark.createDataFrame([(7, item)], "item_id long, text string"))
+    assert [tuple(r)[:1] + tuple(r)[2:] for r in found.collect()] == [(1, 7, 10, 1, 10)]
+    plan = frames["benchmark-hits"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "posexplode(arrays_zip" in plan
+
+
+def test_small_written_tables_are_few_files(spark):
+    from patronage.llm.common import written
+
+    frame = spark.range(30_000).repartition(50)
+    assert len(written(frame, "few", 30_000).inputFiles()) == 2
+    assert written(frame.where("id < 0"), "none", 0).isEmpty()
+    links = written(spark.range(1, 1000).selectExpr("id AS a", "id + 1 AS b").repartition(40), "test-links")
+    labels = neardup.components(links)
+    assert len(labels.inputFiles()) == 1
+    assert labels.count() == 1000 and labels.select("label").distinct().collect() == [(1,)]
+
+
 def test_masks_bridge_every_allowed_substitution():
     from itertools import combinations
 
