@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronage.llm.common import map_arrow, ship, small_side, written
-from patronage.llm.textbytes import SPACES, Rolling, character_places, characters, lines, mix, pick, slices
+from patronage.llm.textbytes import SLICE_BYTES, SPACES, Rolling, character_places, characters, lines, mix, pick, slices
 
 THRESHOLD = 2
 #: Shorter lines are near none: an edit would change more than a twentieth of them. Equal ones are found all the same.
@@ -223,19 +223,28 @@ class Lines:
 
     def __init__(self, raw: pa.Array, threshold: int):
         offsets = np.append(0, np.cumsum(pc.binary_length(raw).to_numpy(zero_copy_only=False))).astype(np.int64)
-        data = np.frombuffer(b"".join(raw.to_pylist()), np.uint8)
+        every = np.frombuffer(b"".join(raw.to_pylist()), np.uint8)
+        self.threshold, found, first = threshold, [], 0
+        while first < len(raw) or not found:  # hashes and counts take many bytes a character, so lines are worked on in slices
+            last = min(max(first + 1, int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1), len(raw))
+            found.append(self._slice(every[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]))
+            first = last
+        self.letters, self.length, self.index, self.probe, self.classes = map(np.concatenate, zip(*found, strict=True))
+        self.ends = np.cumsum(self.length)
+        self.starts = self.ends - self.length
+
+    def _slice(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Characters, lengths, keys and letter counts of some lines."""
         places = character_places(data)
-        self.letters = characters(data, places)
+        letters = characters(data, places)
         edges = offsets if places is None else np.searchsorted(places, offsets)
-        self.starts, self.ends = edges[:-1], edges[1:]
-        self.length = self.ends - self.starts
+        starts, ends = edges[:-1], edges[1:]
         rolling = Rolling(data, 11)
-        self.index = keys(rolling, self.starts, self.ends, threshold, own_segments(threshold), places)
-        self.probe = keys(rolling, self.starts, self.ends, threshold, alignments(threshold), places)
-        owner = np.repeat(np.arange(len(raw)), self.length)
-        kind = (mix(self.letters.astype(np.uint64)) % np.uint64(CLASSES)).astype(np.int64)
-        self.classes = np.bincount(owner * CLASSES + kind, minlength=len(raw) * CLASSES).reshape(-1, CLASSES).astype(np.int32)
-        self.threshold = threshold
+        index, probe = (keys(rolling, starts, ends, self.threshold, ways(self.threshold), places) for ways in (own_segments, alignments))
+        owner = np.repeat(np.arange(len(starts)), ends - starts)
+        kind = (mix(letters.astype(np.uint64)) % np.uint64(CLASSES)).astype(np.int64)
+        classes = np.bincount(owner * CLASSES + kind, minlength=len(starts) * CLASSES).reshape(-1, CLASSES).astype(np.int32)
+        return letters, ends - starts, index, probe, classes
 
     def of(self, line: int) -> np.ndarray:
         return self.letters[self.starts[line] : self.ends[line]]

@@ -135,6 +135,22 @@ def test_encoder_equals_a_fresh_library_on_added_tokens(file, style):
     assert [np.frombuffer(encode([x])[0], "<u2").tolist() for x in texts] == expected
 
 
+def test_lines_of_a_group_take_memory_by_slices(monkeypatch):
+    sizes = []
+    rolling = linededup.Rolling
+    monkeypatch.setattr(linededup, "Rolling", lambda data, seed: sizes.append(len(data)) or rolling(data, seed))
+    texts = ["a" * 30, "é日" * 40, "b" * 700, "", "aé" * 25] * 3
+    raw = pa.array([x.encode() for x in texts], pa.binary())
+    whole = linededup.Lines(raw, 2)
+    monkeypatch.setattr(linededup, "SLICE_BYTES", 100)
+    sliced = linededup.Lines(raw, 2)
+    assert max(sizes[1:]) == 700 and len(sizes) > 6
+    for name in ("letters", "starts", "ends", "length", "index", "probe", "classes"):
+        assert np.array_equal(getattr(whole, name), getattr(sliced, name)), name
+    assert [len(sliced.of(k)) for k in range(len(texts))] == [len(x) for x in texts]
+    assert len(linededup.Lines(raw[:0], 2).length) == 0
+
+
 def test_encoder_keeps_pieces_it_meets_again():
     encode = Encoder(tokenizer_path("byte_bpe_50k.json"), "byte", remembered=20)
     encoded = []
