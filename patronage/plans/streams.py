@@ -4,7 +4,9 @@ goes on from its checkpoint, and the final state is returned, so the batch SQL c
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -41,13 +43,18 @@ def new_pipeline(spark: SparkSession, name: str) -> Pipeline:
 def arrive_and_run(
     p: Pipeline, sf: str, specs: Sequence[Contract], stages: Sequence[Sequence[Step]], scale: int = 1
 ) -> None:
-    """Append each half of the events (cut at one point of the common sequence), then run the stages in turn; the
-    queries of a stage run side by side."""
+    """Append each half of the events (cut at one point of the common sequence), to all topics at once, then run the stages
+    in turn; the queries of a stage run side by side."""
     events = {s.name: _events(p.spark, sf, s, scale) for s in specs}
     cut = next(iter(events.values())).agg(F.percentile_approx("source_seq", 0.5)).first()[0]
     for half in (F.col("source_seq") <= cut, F.col("source_seq") > cut):
-        for spec in specs:
+
+        @inheritable_thread_target(p.spark)
+        def append(spec: Contract) -> None:
             append_records(as_records(events[spec.name].where(half), spec.key), p.topics[spec.name], p.fmt)
+
+        with ThreadPoolExecutor(len(specs)) as writers:
+            list(writers.map(append, specs))
         for stage in stages:
             p.finish(*[step() for step in stage])
 

@@ -41,5 +41,7 @@ def as_records(events: DataFrame, key: str) -> DataFrame:
 
 
 def append_records(records: DataFrame, path: str, fmt: str = "json") -> None:
-    """Parquet row groups stay small, so that a file is read by many tasks; values are JSON in any format."""
-    records.write.mode("append").format(fmt).option("parquet.block.size", 2 << 20).save(path)
+    """Parquet row groups stay small, so that a file is read by many tasks; values are JSON in any format. No two records are
+    alike, so a dictionary would be built for every row group only to be given up."""
+    options = {"parquet.block.size": 2 << 20, "parquet.enable.dictionary": "false"}
+    records.write.mode("append").format(fmt).options(**options).save(path)

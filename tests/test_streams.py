@@ -1,14 +1,19 @@
 import glob
 import json
 import os
+import threading
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from patronage import ACTIVATION, ORDER, PROFILE
 from patronage.contracts import PROFILE_COLUMNS
 from patronage.operators import joins as J
 from patronage.operators import keyed as K
+from patronage.plans import streams
+from patronage.sources.events import append_records, as_records
 from patronage.streaming.pipeline import Pipeline
 
 PROFILES = [
@@ -354,3 +359,45 @@ def test_gold_of_many_customers_looks_for_no_hot_keys(spark, pipe, rows_of, monk
     drop(pipe.topics["order"], 1, ORDER, moved)
     assert rows_of(gold_in_one_round(pipe), "customer_id", "order_count") == [("b", 2), ("ghost", 1), ("new", 1)]
     assert history == [("orders", 1)]
+
+
+def frame_of(spark, spec):
+    """The events as typed rows, as the queries derive them from the tables."""
+    schema = T.StructType([*spec.schema.fields, T.StructField("source_seq", T.LongType())])
+    return spark.createDataFrame([(*[value.get(f.name) for f in spec.schema.fields], seq) for seq, value in EVENTS[spec]], schema)
+
+
+def test_topic_files_build_no_dictionary(spark, root):
+    for _ in range(2):
+        append_records(as_records(frame_of(spark, PROFILE).coalesce(1), "customer_id"), f"{root}/topic", "parquet")
+    files = glob.glob(f"{root}/topic/*.parquet")
+    assert len(files) == 2 and spark.read.parquet(f"{root}/topic").count() == 2 * len(PROFILES)
+    for file in files:
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        assert not any(group.column(i).has_dictionary_page for i in range(group.num_columns))
+
+
+def test_topics_of_a_part_are_written_at_once(spark, pipe, monkeypatch):
+    """Each write waits for the two others, so one after the other would not end."""
+    together, written = threading.Barrier(3, timeout=60), []
+
+    def append(records, path, fmt):
+        together.wait()
+        written.append((os.path.basename(path), sorted(r.source_seq for r in records.collect())))
+
+    monkeypatch.setattr(streams, "append_records", append)
+    monkeypatch.setattr(streams, "_events", lambda spark, sf, spec, scale: frame_of(spark, spec))
+    streams.arrive_and_run(pipe, "", streams.ALL, [])
+    for spec, events in EVENTS.items():
+        parts = [seqs for name, seqs in written if name == spec.name]
+        assert sorted(sum(parts, [])) == [seq for seq, _ in events] and max(parts[0], default=0) < min(parts[1], default=99)
+
+
+def test_an_append_that_fails_is_not_passed_over(spark, pipe, monkeypatch):
+    def append(records, path, fmt):
+        raise OSError(path)
+
+    monkeypatch.setattr(streams, "append_records", append)
+    monkeypatch.setattr(streams, "_events", lambda spark, sf, spec, scale: frame_of(spark, spec))
+    with pytest.raises(OSError):
+        streams.arrive_and_run(pipe, "", streams.ALL, [])
