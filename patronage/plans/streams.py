@@ -342,7 +342,7 @@ def live_c360_stream(spark: SparkSession, sf: str) -> DataFrame:
 def run_segments(spark: SparkSession, sf: str, name: str) -> Pipeline:
     p = new_pipeline(spark, name)
     stages = [
-        [p.run_live_order_summary, p.run_live_orders], [p.run_live_segment_source],
+        [p.run_live_order_summary, p.run_live_profiles], [p.run_live_segment_source],
         [lambda: p.run_live_segments(now=F.lit(B.FIXED_NOW))],
     ]
     arrive_and_run(p, sf, [ORDER, PROFILE], stages, B.SEGMENT_SCALE)

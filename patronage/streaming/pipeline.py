@@ -361,14 +361,28 @@ class Pipeline:
             orders = batch.where("kind = 'order'")
             # orders first: if the run dies in between, the replay skips them and still sees the old profiles
             self._upsert(J.enrich_orders_asof(orders, versions), batch_id, "live", "enriched_orders")
-            state = versions.groupBy("customer_id").agg(
-                *[newest_value(c, "source_seq").alias(c) for c in PROFILE_COLUMNS], F.max("source_seq").alias("_newest")
-            )
-            changed = state.where(F.col("_newest") > KNOWN_BEFORE)
-            self._upsert(changed, batch_id, "live", "profile")
+            self._upsert(newest_profiles(versions), batch_id, "live", "profile")
 
         return self.each_batch(merged, "live_orders", enrich)
 
+    def run_live_profiles(self) -> StreamingQuery:
+        """The profile table alone, for consumers that need no enriched orders. `run_live_orders` keeps the same table: run
+        one of the two."""
+
+        def keep(batch: DataFrame, batch_id: int) -> None:
+            # one row per customer before the stored rows are looked up, so a batch is read once
+            new = newest_profiles(batch.select("source_seq", "customer_id", *PROFILE_COLUMNS)).persist()
+            try:
+                within = self.lake.scope(new.select("customer_id"), distinct=True)
+                known = self.lake.read_or_empty("live", "profile", within)
+                joined = new.alias("new").join(known.alias("old"), "customer_id", "left")
+                rows = joined.select("customer_id", *[F.coalesce(f"new.{c}", f"old.{c}").alias(c) for c in PROFILE_COLUMNS])
+                self._upsert(rows, batch_id, "live", "profile")
+            finally:
+                new.unpersist()
+
+        return self.each_batch(self.events(PROFILE), "live_profiles", keep, reread=False)
+
     def run_live_order_summary(self) -> StreamingQuery:
         orders = self.events(ORDER).withColumnRenamed("placed_at", "order_placed_at")
         return self.upsert_stream(M.order_summary(orders), "live", "order_summary", "update")
@@ -421,6 +435,14 @@ class Pipeline:
         return self.upsert_stream(events, "live", "segments")
 
 
+def newest_profiles(versions: DataFrame) -> DataFrame:
+    """The newest value of each column per customer, of customers with an event newer than what is stored."""
+    state = versions.groupBy("customer_id").agg(
+        *[newest_value(c, "source_seq").alias(c) for c in PROFILE_COLUMNS], F.max("source_seq").alias("_newest")
+    )
+    return state.where(F.col("_newest") > KNOWN_BEFORE)
+
+
 def serving_batch(current: DataFrame, batch: DataFrame, hot: Sequence[str] = ()) -> DataFrame:
     """Rows to write for a batch of (key, value, source_seq) messages: deletes take effect where they stand in
     the order of messages, updates after them start from an empty row."""

@@ -401,3 +401,25 @@ def test_an_append_that_fails_is_not_passed_over(spark, pipe, monkeypatch):
     monkeypatch.setattr(streams, "_events", lambda spark, sf, spec, scale: frame_of(spark, spec))
     with pytest.raises(OSError):
         streams.arrive_and_run(pipe, "", streams.ALL, [])
+
+
+def test_profiles_alone_are_those_of_the_enriched_orders(pipe, rows_of):
+    feed(pipe, PROFILE)
+    pipe.finish(pipe.run_live_profiles())
+    alone = rows_of(pipe.lake.read("live", "profile"))
+    assert [r[:3] for r in alone] == [("a", "a@2", "A"), ("b", "b@1", "B"), ("idle", "i@1", None)]
+    assert len(pipe.lake.batches("live", "profile")) == 3 and not pipe.lake.exists("live", "enriched_orders")
+    drop(pipe.topics["profile"], 7, PROFILE, [(20, {"customer_id": "a", "first_name": "AA", "created_at": 9}), (21, {"customer_id": "new", "created_at": 9})])
+    pipe.finish(pipe.run_live_profiles())
+    alone = rows_of(pipe.lake.read("live", "profile"))
+    assert [r[:3] for r in alone] == [("a", "a@2", "AA"), ("b", "b@1", "B"), ("idle", "i@1", None), ("new", None, None)]
+    both = Pipeline(pipe.spark, f"{pipe.root}/both", pipe.topics, options=pipe.options, buckets=4, compact_every=3)
+    both.finish(both.run_live_orders())
+    assert rows_of(both.lake.read("live", "profile")) == alone
+
+
+def test_segments_need_no_enriched_orders(spark, rows_of, monkeypatch):
+    monkeypatch.setattr(streams, "_events", lambda spark, sf, spec, scale: frame_of(spark, spec))
+    p = streams.run_segments(spark, "", "segments_test")
+    assert rows_of(p.lake.read("live", "segments"), "customer_id", "segment") == [("a", "growth"), ("b", "growth"), ("ghost", "unknown")]
+    assert not p.lake.exists("live", "enriched_orders")
